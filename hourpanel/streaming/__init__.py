@@ -1,0 +1,5 @@
+"""Intentionally empty: the pipeline is batch only.
+
+Late and revised rows are handled by re-ingesting a trailing window with day replacement
+(``hourpanel.sources.ingest`` and ``hourpanel.sources.sinks.replace_days``).
+"""
