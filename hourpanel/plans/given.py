@@ -19,7 +19,8 @@ from hourpanel.sources.readers import conform
 from hourpanel.spec import AUDIT_COLUMN
 
 ORDER_DAYS_TO_EVENTS = 9131  # 1999-01-01 becomes 2024-01-01
-BIG_ORDER = 490_000.0
+HOLIDAY_ORDER = 490_000.0
+EVENT_ORDER = 450_000.0
 APRIL_SHIFT, OCTOBER_SHIFT = 90, 270  # days from January 2024 to the two clock changes
 LANDED_AT = "2024-02-01 00:00:00"
 TODAY = date(2024, 2, 1)
@@ -118,7 +119,7 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days with a very large order, named by its priority; several names a day are common."""
-    big = _orders(spark, sf_dir).filter(F.col("o_totalprice") > BIG_ORDER)
+    big = _orders(spark, sf_dir).filter(F.col("o_totalprice") > HOLIDAY_ORDER)
     return _stamped(big.select(F.col("day").alias("date"), F.col("o_orderpriority").alias("name")))
 
 
@@ -143,7 +144,7 @@ def terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def major_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Very large orders as events that last longer with a longer priority label."""
-    big = _orders(spark, sf_dir).filter(F.col("o_totalprice") > BIG_ORDER)
+    big = _orders(spark, sf_dir).filter(F.col("o_totalprice") > EVENT_ORDER)
     days = F.length("o_orderpriority") - 5
     return _stamped(
         big.select(

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from hourpanel.functions.scalars import tolerant_date
 from hourpanel.functions.wallclock import local_date
+from hourpanel.sources.schemas import TYPES
 from hourpanel.sources.tree import Tree
 
 
@@ -148,7 +149,7 @@ def max_date(df: DataFrame, column: str) -> DataFrame:
 
 def existing_max_date(spark: SparkSession, root: str, column: str, dtype: str) -> date | None:
     """Latest date landed below ``root``, reading one column only."""
-    schema = T.StructType.fromDDL(f"{column} {dtype}")
+    schema = T.StructType([T.StructField(column, TYPES[dtype])])
     return max_date(read_tree(spark, root, schema), column).first()["max_date"]
 
 

@@ -34,8 +34,23 @@ class Source:
         )
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+LON_LAT = T.StructType([T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())])
+TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "boolean": T.BooleanType(),
+    "lon_lat": LON_LAT,
+}
+
+
+def columns(listing: str) -> T.StructType:
+    """Schema from ``name type`` pairs; unlike a DDL string it needs no running session."""
+    pairs = (item.split() for item in listing.split(","))
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in pairs])
 
 
 # The industry columns of the two per-block census tables.
@@ -64,34 +79,34 @@ wholesale_trade
 
 def _per_block(total: str) -> T.StructType:
     measures = ", ".join(f"{name} double" for name in [*INDUSTRIES, total])
-    return _struct(f"census_year string, block_id string, clue_small_area string, {measures}")
+    return columns(f"census_year string, block_id string, clue_small_area string, {measures}")
 
 
 COUNTS = Source(
     "pedestrian_hourly_counts",
-    _struct(
+    columns(
         "id bigint, location_id bigint, sensing_date date, hourday int, direction_1 bigint, "
         "direction_2 bigint, pedestriancount bigint, sensor_name string, "
-        "location struct<lon:double,lat:double>"
+        "location lon_lat"
     ),
     date_column="sensing_date",
     first_day=date(2024, 9, 6),
-    derived=_struct("observed_at timestamp"),
+    derived=columns("observed_at timestamp"),
 )
 SENSORS = Source(
     "pedestrian_sensor_locations",
-    _struct(
+    columns(
         "location_id bigint, sensor_description string, sensor_name string, "
         "installation_date string, note string, location_type string, status string, "
         "direction_1 string, direction_2 string, latitude double, longitude double, "
-        "location struct<lon:double,lat:double>"
+        "location lon_lat"
     ),
     first_day=date(2009, 1, 20),
     last_day=date(2025, 10, 18),
 )
 WEATHER = Source(
     "open_meteo_archive",
-    _struct(
+    columns(
         "time timestamp, temperature_2m double, precipitation double, rain double, "
         "wind_speed_10m double, cloud_cover bigint"
     ),
@@ -100,13 +115,13 @@ WEATHER = Source(
 )
 HOLIDAYS = Source(
     "vic_public_holidays",
-    _struct("date date, name string"),
+    columns("date date, name string"),
     date_column="date",
     first_day=date(2019, 1, 1),
 )
 TERMS = Source(
     "vic_school_terms",
-    _struct(
+    columns(
         "year int, term int, start_date date, end_date date, jurisdiction string, "
         "source_note string"
     ),
@@ -114,20 +129,20 @@ TERMS = Source(
 )
 EVENTS = Source(
     "major_events",
-    _struct(
+    columns(
         "event_id string, event_name string, venue string, start_date date, end_date date, "
         "notes string"
     ),
     key_column="year",
-    derived=_struct("year int"),
+    derived=columns("year int"),
 )
 ADDRESSES = Source(
     "clue_establishments_address_industry",
-    _struct(
+    columns(
         "census_year string, block_id string, property_id string, base_property_id string, "
         "clue_small_area string, trading_name string, business_address string, "
         "industry_anzsic4_code string, industry_anzsic4_description string, longitude double, "
-        "latitude double, point struct<lon:double,lat:double>"
+        "latitude double, point lon_lat"
     ),
     key_column="census_year",
     first_day=date(2002, 1, 1),
