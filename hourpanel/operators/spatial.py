@@ -10,9 +10,16 @@ remaining cells are joined, on the cell number.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourpanel.session import materialise
+
+CELL_BLOCKS = 16
+MAX_STRIPS = 32
+
 
 def _square(value: Column) -> Column:
     return value * value
@@ -48,16 +55,27 @@ def with_cells(points: DataFrame, lat: str, lon: str, strips: int) -> DataFrame:
     )
 
 
-def block_candidates(sensors: DataFrame, blocks: DataFrame, strips: int = 16) -> DataFrame:
+def cell_strips(points: int) -> int:
+    """Strips per axis for about ``CELL_BLOCKS`` blocks a cell, at most ``MAX_STRIPS``."""
+    return min(MAX_STRIPS, max(1, math.ceil(math.sqrt(points / CELL_BLOCKS))))
+
+
+def block_candidates(sensors: DataFrame, blocks: DataFrame, strips: int | None = None) -> DataFrame:
     """Sensor and block pairs that can be nearest, with their squared distance.
 
-    Blocks at the same point lead with the smallest (block, area), so copies never multiply.
+    Blocks at the same point lead with the smallest (block, area), so copies never multiply. The
+    points and their cells are written once, as cuts, boxes and targets all read them.
     """
     located = sensors.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    points = blocks.groupBy("latitude", "longitude").agg(
-        F.min(F.struct("block_id", "clue_small_area")).alias("_block")
+    points = materialise(
+        blocks.groupBy("latitude", "longitude").agg(
+            F.min(F.struct("block_id", "clue_small_area")).alias("_block")
+        ),
+        "block-points",
     )
+    strips = strips or cell_strips(points.count())
     celled = with_cells(points, "latitude", "longitude", strips)
+    celled = materialise(celled, "block-cells") if strips > 1 else celled
     boxes = celled.groupBy("cell").agg(
         F.min("latitude").alias("south"), F.max("latitude").alias("north"),
         F.min("longitude").alias("west"), F.max("longitude").alias("east"),
@@ -113,7 +131,7 @@ def block_candidates(sensors: DataFrame, blocks: DataFrame, strips: int = 16) ->
 MATCH_COLUMNS = ("block_id", "clue_small_area", "block_latitude", "block_longitude", "distance_sq")
 
 
-def nearest_block(sensors: DataFrame, blocks: DataFrame, strips: int = 16) -> DataFrame:
+def nearest_block(sensors: DataFrame, blocks: DataFrame, strips: int | None = None) -> DataFrame:
     """The nearest block of every located sensor; ties go to the smallest (block, area).
 
     A minimum is combined before the shuffle, so no sensor's candidates meet in one place.
@@ -127,7 +145,7 @@ def nearest_block(sensors: DataFrame, blocks: DataFrame, strips: int = 16) -> Da
     return found.select("location_id", *(F.col(f"_b.{name}") for name in MATCH_COLUMNS))
 
 
-def nearest_block_ranked(sensors: DataFrame, blocks: DataFrame, strips: int = 16) -> DataFrame:
+def nearest_block_ranked(sensors: DataFrame, blocks: DataFrame, strips: int | None = None) -> DataFrame:
     """Same result through a ranking window; the group limit is applied before the shuffle."""
     order = Window.partitionBy("location_id").orderBy("distance_sq", "block_id", "clue_small_area")
     return (

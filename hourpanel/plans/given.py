@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourpanel.functions.wallclock import localize, wall_clock
+from hourpanel.functions.wallclock import localize, wall_clock, wall_from_ntz
 from hourpanel.plans.stages import Staged, stage_all
 from hourpanel.session import materialise
 from hourpanel.sources import schemas
@@ -107,7 +107,7 @@ def weather_hours(spark: SparkSession, sf_dir: str, shift_days: int = 0) -> Data
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours = weather_hours(spark, sf_dir)
-    timed = hours.withColumn("time", localize(F.col("wall"))).drop("wall")
+    timed = hours.withColumn("time", localize(wall_from_ntz(F.col("wall")))).drop("wall")
     return conform(_stamped(timed), schemas.WEATHER.landed)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourpanel.functions.wallclock import (
-    day_of_week, dst_kind, expected_grid, utc_wall, wall_clock,
+    day_of_week, dst_kind, expected_grid, wall_clock,
 )
 from hourpanel.operators import (
     calendar, constraints, export, features, learner, metrics, panel, profiling, quality, spatial,
@@ -44,8 +44,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def presented(df: DataFrame) -> DataFrame:
-    """Rounded doubles, and instants as UTC wall clocks."""
-    stamps = {n: utc_wall(F.col(n)) for n, t in df.dtypes if t == "timestamp"}
+    """Rounded doubles, and instants as UTC readings; the session zone is pinned to UTC here."""
+    stamps = {n: F.col(n).cast("timestamp_ntz") for n, t in df.dtypes if t == "timestamp"}
     return rounded(df.withColumns(stamps) if stamps else df)
 
 
