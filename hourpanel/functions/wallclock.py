@@ -72,7 +72,9 @@ def localize(wall: Column, tz: str = TIME_ZONE) -> Column:
 def parse_instant(text: Column, tz: str = TIME_ZONE) -> Column:
     """Instant of an ISO string: with an offset taken as is, without one localised."""
     has_offset = text.rlike(r"T.*(Z|[+-]\d{2}:?\d{2})$")
-    return F.when(has_offset, text.try_cast("timestamp")).otherwise(
+    # The cast wants seconds before an offset; hourly sources often leave them out.
+    full = F.regexp_replace(text, r"T(\d{2}:\d{2})(Z|[+-])", "T$1:00$2")
+    return F.when(has_offset, full.try_cast("timestamp")).otherwise(
         localize(wall_from_ntz(text.try_cast("timestamp_ntz")), tz)
     )
 

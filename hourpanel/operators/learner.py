@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
@@ -43,10 +44,17 @@ def with_baseline(features: DataFrame) -> DataFrame:
     return features.withColumn("baseline_pred", F.col("lag_24h"))
 
 
+ROWS_PER_TASK = 50_000
+
+
 def fit(
-    rows: DataFrame, features: list[str], spec: PanelSpec, params: LearnerParams
+    rows: DataFrame, n_rows: int, features: list[str], spec: PanelSpec, params: LearnerParams
 ) -> PipelineModel:
-    """Fit on complete rows. The series is a categorical feature; unseen ones get a bin of their own."""
+    """Fit on complete rows. The series is a categorical feature; unseen ones get a bin of their own.
+
+    Every tree level is a pass over the cached rows, so small inputs are packed into fewer tasks;
+    a large input keeps the partitions it has.
+    """
     indexer = StringIndexer(
         inputCol=spec.series, outputCol="_series", handleInvalid="keep"
     ).fit(rows)
@@ -55,12 +63,12 @@ def fit(
     trees = GBTRegressor(
         featuresCol="_features", labelCol="_label", predictionCol=LEARNER_COLUMN,
         maxIter=params.trees, maxDepth=params.depth, stepSize=params.rate, seed=params.seed,
-        maxBins=max(32, len(indexer.labels) + 1), cacheNodeIds=True,
+        maxBins=max(32, len(indexer.labels) + 1), cacheNodeIds=n_rows > ROWS_PER_TASK,
     )
     prepared = rows.select(
         F.col(spec.series), *(F.col(name).cast("double").alias(name) for name in numeric),
         F.col(spec.value).cast("double").alias("_label"),
-    )
+    ).coalesce(math.ceil(n_rows / ROWS_PER_TASK))
     return Pipeline(stages=[indexer, assembler, trees]).fit(prepared)
 
 
@@ -96,11 +104,12 @@ def train_and_predict(
     usable = usable_features(observed, spec)
     rows = complete_rows(observed, usable).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if rows.count() < params.min_rows:
+        n_rows = rows.count()
+        if n_rows < params.min_rows:
             if model_path:
                 Tree(data.sparkSession, model_path).drop(model_path)
             return data.withColumn(LEARNER_COLUMN, F.lit(None).cast("double")), None
-        model = fit(rows, usable, spec, params)
+        model = fit(rows, n_rows, usable, spec, params)
     finally:
         rows.unpersist()
     if model_path:
@@ -110,7 +119,7 @@ def train_and_predict(
 
 def rolling_origin_predictions(
     features: DataFrame, spec: PanelSpec = AREA_PANEL, params: LearnerParams = LearnerParams(),
-    step_days: int = 1, max_folds: int | None = None, parallel: int = 4,
+    step_days: int = 1, max_folds: int | None = None, parallel: int = 8,
 ) -> DataFrame:
     """Test rows of every fold with an out-of-sample learner prediction.
 
@@ -131,10 +140,11 @@ def rolling_origin_predictions(
         usable = usable_features(train, spec)
         rows = complete_rows(train, [*usable, spec.value]).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if rows.count() < params.min_rows:
+            n_rows = rows.count()
+            if n_rows < params.min_rows:
                 scored = test.withColumn(LEARNER_COLUMN, F.lit(None).cast("double"))
             else:
-                scored = predict(fit(rows, usable, spec, params), test, usable, spec)
+                scored = predict(fit(rows, n_rows, usable, spec, params), test, usable, spec)
             scored.write.mode("overwrite").parquet(f"{target}/fold={origin}")
         finally:
             rows.unpersist()

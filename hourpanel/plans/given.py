@@ -16,6 +16,7 @@ from hourpanel.plans.stages import Staged, stage_all
 from hourpanel.session import materialise
 from hourpanel.sources import schemas
 from hourpanel.sources.readers import conform
+from hourpanel.sources.schemas import columns
 from hourpanel.spec import AUDIT_COLUMN
 
 ORDER_DAYS_TO_EVENTS = 9131  # 1999-01-01 becomes 2024-01-01
@@ -30,9 +31,31 @@ def pin_zone(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+# Declared, so that opening a table runs no job.
+SCHEMAS = {
+    "events": columns(
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+    "embeddings": columns("vec_id bigint, embedding floats, label int"),
+    "orders": columns(
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": columns(
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "documents": columns(
+        "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    ),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     pin_zone(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _stamped(df: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourpanel.operators import calendar, export, features, learner, metrics, panel, spatial, staging
+from hourpanel.operators.learner import LearnerParams
 from hourpanel.session import materialise
 from hourpanel.sources import readers, schemas, sinks
 from hourpanel.sources.schemas import Source
@@ -69,9 +71,16 @@ def build_location_hour(staged: Staged) -> DataFrame:
 
 
 def build_mart(staged: Staged) -> DataFrame:
-    """The area-hour mart, aggregated before the hour and day columns are attached."""
+    """The area-hour mart, aggregated before the hour and day columns are attached.
+
+    The two dimensions are independent jobs and are written at the same time.
+    """
+    with ThreadPoolExecutor(2) as pool:
+        days = pool.submit(day_calendar, staged)
+        blocks = pool.submit(block_map, staged)
+        dimensions = days.result(), blocks.result()
     return panel.precinct_hour_early(
-        staged.counts, staged.sensors, staged.weather, day_calendar(staged), block_map(staged)
+        staged.counts, staged.sensors, staged.weather, *dimensions
     )
 
 
@@ -106,16 +115,20 @@ def evaluate(tested: DataFrame, panel_rows: DataFrame | None = None) -> Scores:
     )
 
 
-def run(spark: SparkSession, raw_root: str, out_root: str) -> DataFrame:
+def run(
+    spark: SparkSession, raw_root: str, out_root: str, params: LearnerParams = LearnerParams()
+) -> DataFrame:
     """Build, features, train, evaluate and export; returns the exported table."""
     staged = stage_landed(spark, raw_root)
     sinks.write_table(build_mart(staged), f"{out_root}/mart_precinct_hour")
     mart = readers.read_required(spark, f"{out_root}/mart_precinct_hour")
     sinks.write_table(features.feature_matrix(mart), f"{out_root}/precinct_hour_features")
     matrix = readers.read_required(spark, f"{out_root}/precinct_hour_features")
-    predictions, _ = learner.train_and_predict(matrix, model_path=f"{out_root}/models/boosted")
+    predictions, _ = learner.train_and_predict(
+        matrix, params=params, model_path=f"{out_root}/models/boosted"
+    )
     sinks.write_table(predictions, f"{out_root}/precinct_hour_predictions")
-    tested = learner.rolling_origin_predictions(matrix)
+    tested = learner.rolling_origin_predictions(matrix, params=params)
     scores = evaluate(tested, learner.with_baseline(learner.flags_as_numbers(matrix)))
     sinks.write_json(scores.folds, f"{out_root}/metrics/folds")
     sinks.write_table(scores.pooled, f"{out_root}/metrics/pooled")

@@ -42,7 +42,9 @@ TYPES = {
     "string": T.StringType(),
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
     "boolean": T.BooleanType(),
+    "floats": T.ArrayType(T.FloatType()),
     "lon_lat": LON_LAT,
 }
 
