@@ -81,22 +81,27 @@ def export_wide(
     ``pooled`` is one row with the pooled scores; ``by_series`` has the per-series scores.
     """
     null = F.lit(None).cast("double")
-    wide = join_predictions(mart, predictions, spec)
-    for name in POOLED_COLUMNS:
-        known = pooled is not None and name in pooled.columns
-        wide = wide.withColumn(name, pooled.select(name).scalar() if known else null)
-    if by_series is None:
-        wide = wide.withColumns({name: null for name in SERIES_COLUMNS})
-    else:
-        renamed = by_series.select(
+    profile = series_hour_means(mart, spec)
+    if by_series is not None:
+        # Joined to the small profile, so the mart meets one table, on (series, hour).
+        scores = by_series.select(
             spec.series,
             *(
                 (F.col(a) if a in by_series.columns else null).alias(b)
                 for a, b in zip(POOLED_COLUMNS, SERIES_COLUMNS, strict=True)
             ),
         )
-        wide = wide.join(renamed, spec.series, "left")
+        profile = profile.join(scores, spec.series, "left")
+    else:
+        profile = profile.withColumns({name: null for name in SERIES_COLUMNS})
+    wide = join_predictions(mart, predictions, spec).join(
+        profile, [spec.series, spec.hour], "left"
+    )
+    added = {}
+    for name in POOLED_COLUMNS:
+        known = pooled is not None and name in pooled.columns
+        added[name] = pooled.select(name).scalar() if known else null
     for kind in ("baseline", "lgbm"):
         if f"{kind}_pred" in wide.columns:
-            wide = wide.withColumn(f"{kind}_error", F.col(spec.value) - F.col(f"{kind}_pred"))
-    return wide.join(series_hour_means(mart, spec), [spec.series, spec.hour], "left")
+            added[f"{kind}_error"] = F.col(spec.value) - F.col(f"{kind}_pred")
+    return wide.withColumns(added)

@@ -40,11 +40,13 @@ def join_weather(counts: DataFrame, weather: DataFrame) -> DataFrame:
 
 def calendar_flags(df: DataFrame) -> DataFrame:
     """Flags and zero counts for days without calendar rows."""
-    return (
-        df.withColumn("is_public_holiday", F.col("holiday_name").isNotNull())
-        .withColumn("is_school_term", F.coalesce("school_term_count", F.lit(0)) > 0)
-        .withColumn("event_count", F.coalesce("event_count", F.lit(0).cast("bigint")))
-        .withColumn("is_event_day", F.col("event_names").isNotNull())
+    return df.withColumns(
+        {
+            "is_public_holiday": F.col("holiday_name").isNotNull(),
+            "is_school_term": F.coalesce("school_term_count", F.lit(0)) > 0,
+            "event_count": F.coalesce("event_count", F.lit(0).cast("bigint")),
+            "is_event_day": F.col("event_names").isNotNull(),
+        }
     )
 
 
@@ -98,20 +100,24 @@ MART_COLUMNS = (
 )
 
 
+def area_dimension(block_map: DataFrame, sensors: DataFrame) -> DataFrame:
+    """Area of every mapped location, with the number of sensor rows the location has."""
+    repeats = sensors.groupBy("location_id").agg(F.count(F.lit(1)).alias("copies"))
+    return block_map.select("location_id", F.col("clue_small_area").alias("precinct")).join(
+        repeats, "location_id", "left"
+    )
+
+
 def precinct_hour_early(
-    counts: DataFrame, sensors: DataFrame, weather: DataFrame, calendar: DataFrame,
-    block_map: DataFrame,
+    counts: DataFrame, areas: DataFrame, weather: DataFrame, calendar: DataFrame
 ) -> DataFrame:
     """The same mart, aggregating the counts before the hour and day columns are attached.
 
     Weather depends only on (date, hour) and the calendar only on the date, so they join the
     aggregate, which is smaller than the facts by the number of sensors per area. Repeated sensor
     or weather keys multiply count rows in the wide join; the sum is scaled by the same factors.
+    ``areas`` is a materialised ``area_dimension``.
     """
-    repeats = sensors.groupBy("location_id").agg(F.count(F.lit(1)).alias("_copies"))
-    areas = block_map.select("location_id", F.col("clue_small_area").alias("precinct")).join(
-        repeats, "location_id", "left"
-    )
     per_location = counts.groupBy("location_id", "sensing_date", "hourday").agg(
         F.min("observed_at").alias("observed_at"),
         F.sum("pedestriancount").alias("pedestriancount"),
@@ -122,7 +128,7 @@ def precinct_hour_early(
         .agg(
             F.min("observed_at").alias("observed_at"),
             F.sum(
-                F.col("pedestriancount") * F.coalesce("_copies", F.lit(1))
+                F.col("pedestriancount") * F.coalesce("copies", F.lit(1))
             ).alias("pedestriancount"),
             F.count(F.lit(1)).alias("sensor_count"),
         )

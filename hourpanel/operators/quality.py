@@ -60,8 +60,13 @@ def by_location(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFrame
 
 
 def short_days(grain: DataFrame, spec: PanelSpec) -> Column:
-    """Array of (day, missing) for the days in range that lack a wall hour: a few per year."""
-    span = grain.agg(F.min(spec.date).alias("low"), F.max(spec.date).alias("high"))
+    """Array of (day, missing) for the days that lack a wall hour: a few per year.
+
+    It covers the whole calendar years the dates touch.
+    """
+    first = F.trunc(F.min(spec.date), "year")
+    last = F.date_sub(F.add_months(F.trunc(F.max(spec.date), "year"), 12), 1)
+    span = grain.agg(first.alias("low"), last.alias("high"))
     days = span.filter("low is not null").select(
         F.explode(F.sequence("low", "high")).alias("day")
     )
@@ -95,14 +100,12 @@ def churn_status(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFram
     )
     first = F.make_date("year", F.lit(1), F.lit(1))
     last = F.make_date("year", F.lit(12), F.lit(31))
-    years = present.select("year").distinct()
-    lengths = (
-        years.withColumn("_day", F.explode(F.sequence(first, last)))
-        .groupBy("year")
-        .agg(F.sum(F.size(expected_hours(F.col("_day"), spec.tz))).alias("expected_hours"))
-    )
-    return present.join(lengths, "year").withColumn(
-        "full_year", F.col("present_hours") == F.col("expected_hours")
+    length = hours_between(first, last, F.col("_short"))
+    return (
+        present.withColumn("_short", short_days(grain, spec))
+        .withColumn("expected_hours", length)
+        .withColumn("full_year", F.col("present_hours") == F.col("expected_hours"))
+        .drop("_short")
     )
 
 

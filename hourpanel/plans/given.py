@@ -6,6 +6,7 @@ dates lie in 1995 to 2001 and are moved by whole days onto the year of the event
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -203,12 +204,16 @@ def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged(spark: SparkSession, sf_dir: str) -> Staged:
-    """Staged views. Weather comes from the events, so it is landed once as its own table."""
+    """Staged views. Counts and weather both come from the events; each is landed once as a table."""
+    with ThreadPoolExecutor(2) as pool:
+        facts = pool.submit(materialise, counts(spark, sf_dir), "counts")
+        hours = pool.submit(materialise, weather(spark, sf_dir), "weather")
+        landed_counts, landed_weather = facts.result(), hours.result()
     return stage_all(
         {
-            schemas.COUNTS.name: counts(spark, sf_dir),
+            schemas.COUNTS.name: landed_counts,
             schemas.SENSORS.name: sensors(spark, sf_dir),
-            schemas.WEATHER.name: materialise(weather(spark, sf_dir), "weather"),
+            schemas.WEATHER.name: landed_weather,
             schemas.HOLIDAYS.name: holidays(spark, sf_dir),
             schemas.TERMS.name: terms(spark, sf_dir),
             schemas.EVENTS.name: major_events(spark, sf_dir),

@@ -332,7 +332,7 @@ def join_left_composite(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _days(spark: SparkSession, sf: str) -> DataFrame:
-    return calendar.distinct_days(given.hourly_counts(spark, sf))
+    return materialise(calendar.distinct_days(given.hourly_counts(spark, sf)), "days")
 
 
 @query
@@ -748,8 +748,8 @@ def export_wide(spark: SparkSession, sf: str) -> DataFrame:
     )
     wide = export.export_wide(
         mart, predictions,
-        metrics.pooled_mase(predictions, BASELINE),
-        metrics.pooled_by_series(predictions, BASELINE),
+        materialise(metrics.pooled_mase(predictions, BASELINE), "pooled"),
+        materialise(metrics.pooled_by_series(predictions, BASELINE), "by-series"),
     )
     return presented(wide)
 

@@ -53,8 +53,12 @@ def stage_landed(spark: SparkSession, raw_root: str) -> Staged:
 
 
 def day_calendar(staged: Staged) -> DataFrame:
-    """Calendar of the days present in the counts, materialised as a dimension."""
-    days = calendar.distinct_days(staged.counts)
+    """Calendar of the days present in the counts, materialised as a dimension.
+
+    The days are written first: they are read once per interval table and bound, and should not
+    cost a pass over the facts each time.
+    """
+    days = materialise(calendar.distinct_days(staged.counts), "days")
     merged = calendar.calendar_by_day(staged.holidays, staged.terms, staged.events, days)
     return materialise(merged, "calendar")
 
@@ -70,6 +74,12 @@ def build_location_hour(staged: Staged) -> DataFrame:
     )
 
 
+def area_map(staged: Staged) -> DataFrame:
+    """Location to area, materialised as a dimension."""
+    nearest = spatial.nearest_block(staged.sensors, staged.blocks)
+    return materialise(panel.area_dimension(nearest, staged.sensors), "areas")
+
+
 def build_mart(staged: Staged) -> DataFrame:
     """The area-hour mart, aggregated before the hour and day columns are attached.
 
@@ -77,11 +87,9 @@ def build_mart(staged: Staged) -> DataFrame:
     """
     with ThreadPoolExecutor(2) as pool:
         days = pool.submit(day_calendar, staged)
-        blocks = pool.submit(block_map, staged)
-        dimensions = days.result(), blocks.result()
-    return panel.precinct_hour_early(
-        staged.counts, staged.sensors, staged.weather, *dimensions
-    )
+        areas = pool.submit(area_map, staged)
+        day_table, area_table = days.result(), areas.result()
+    return panel.precinct_hour_early(staged.counts, area_table, staged.weather, day_table)
 
 
 @dataclass(frozen=True)
