@@ -4,15 +4,68 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourpanel.operators import calendar, export, features, learner, metrics, panel, spatial, staging
+from hourpanel.operators import (
+    calendar, export, features, learner, metrics, panel, quality, spatial, staging,
+)
 from hourpanel.operators.learner import LearnerParams
 from hourpanel.session import materialise
-from hourpanel.sources import readers, schemas, sinks
+from hourpanel.sources import ingest, readers, schemas, sinks
+from hourpanel.sources.ingest import Window
 from hourpanel.sources.schemas import Source
+from hourpanel.sources.tree import Tree
+from hourpanel.spec import AREA_PANEL, SEASON_HOURS
+
+
+CENSUS_WINDOW = Window(date(2024, 1, 1), date(2024, 12, 31))
+TOO_FEW_DATES = "Need at least two distinct sensing_date values for rolling-origin evaluation."
+
+
+def ingest_all(
+    spark: SparkSession, frames: dict[str, DataFrame], raw_root: str, window: Window | None,
+    today: date, skip_addresses: bool = False,
+) -> DataFrame:
+    """Land every given source below ``raw_root`` in the fixed order; returns the audit rows.
+
+    ``frames`` maps source names to frames read from landed exports. Holidays are taken for whole
+    years, terms and events in full, census tables for the census year.
+    """
+
+    def root(source: Source) -> str:
+        return f"{raw_root}/{source.name}"
+
+    years = ingest.whole_years(window) if window else None
+    census = (CENSUS_WINDOW.start, CENSUS_WINDOW.end)
+    steps = {
+        schemas.COUNTS: lambda df, at: ingest.ingest_counts(df, at, window, today),
+        schemas.SENSORS: ingest.ingest_sensors,
+        schemas.WEATHER: lambda df, at: ingest.ingest_weather(df, at, window, today),
+        schemas.HOLIDAYS: lambda df, at: ingest.ingest_holidays(df, at, years, today),
+        schemas.TERMS: ingest.ingest_terms,
+        schemas.EVENTS: ingest.ingest_events,
+    }
+    for source in (schemas.BLOCK_ESTABLISHMENTS, schemas.BLOCK_JOBS, schemas.ADDRESSES):
+        if not (skip_addresses and source is schemas.ADDRESSES):
+            steps[source] = lambda df, at, source=source: ingest.ingest_census(
+                df, source, at, *census
+            )
+    results = [
+        step(frames[source.name], root(source))
+        for source, step in steps.items()
+        if source.name in frames
+    ]
+    return ingest.report(spark, results)
+
+
+def check_landed(spark: SparkSession, raw_root: str) -> DataFrame:
+    """The five source checks over the landed counts and sensors."""
+    return quality.run_all_checks(
+        landed(spark, raw_root, schemas.COUNTS), landed(spark, raw_root, schemas.SENSORS)
+    )
 
 
 @dataclass(frozen=True)
@@ -116,13 +169,40 @@ def evaluate(tested: DataFrame, panel_rows: DataFrame | None = None) -> Scores:
     scored = {"mase_baseline": "baseline_pred"}
     if learner.LEARNER_COLUMN in frame.columns:
         scored["mase_lgbm"] = learner.LEARNER_COLUMN
+    note = F.when(frame.select(F.count_distinct("sensing_date")).scalar() < 2, TOO_FEW_DATES)
     return Scores(
         folds=metrics.rolling_origin(frame, scored),
-        pooled=metrics.pooled_mase(frame, scored),
+        pooled=metrics.pooled_mase(frame, scored).withColumns(
+            {"seasonality_hours": F.lit(SEASON_HOURS), "note": note}
+        ),
         by_series=metrics.pooled_by_series(frame, scored),
     )
 
 
+POOLED = schemas.columns(
+    "mase_baseline double, mase_lgbm double, seasonality_hours int, note string"
+)
+BY_SERIES = schemas.columns(
+    f"{AREA_PANEL.series} string, mase_baseline double, mase_lgbm double"
+)
+
+
+def write_scores(scores: Scores, root: str) -> None:
+    """Scores as JSON documents, undefined values as null."""
+    sinks.write_json(scores.folds, f"{root}/folds")
+    sinks.write_json(scores.pooled, f"{root}/pooled")
+    sinks.write_json(scores.by_series, f"{root}/by_series")
+
+
+def read_scores(spark: SparkSession, root: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """Pooled and per-series scores read back; absent documents give None."""
+    found = []
+    for name, schema in (("pooled", POOLED), ("by_series", BY_SERIES)):
+        exists = Tree(spark, f"{root}/{name}").exists()
+        found.append(spark.read.schema(schema).json(f"{root}/{name}") if exists else None)
+    return found[0], found[1]
+
+
 def run(
     spark: SparkSession, raw_root: str, out_root: str, params: LearnerParams = LearnerParams()
 ) -> DataFrame:
@@ -138,14 +218,11 @@ def run(
     sinks.write_table(predictions, f"{out_root}/precinct_hour_predictions")
     tested = learner.rolling_origin_predictions(matrix, params=params)
     scores = evaluate(tested, learner.with_baseline(learner.flags_as_numbers(matrix)))
-    sinks.write_json(scores.folds, f"{out_root}/metrics/folds")
-    sinks.write_table(scores.pooled, f"{out_root}/metrics/pooled")
-    sinks.write_table(scores.by_series, f"{out_root}/metrics/by_series")
+    write_scores(scores, f"{out_root}/metrics")
     wide = export.export_wide(
         mart,
         readers.read_optional(spark, f"{out_root}/precinct_hour_predictions"),
-        readers.read_optional(spark, f"{out_root}/metrics/pooled"),
-        readers.read_optional(spark, f"{out_root}/metrics/by_series"),
+        *read_scores(spark, f"{out_root}/metrics"),
     )
     sinks.write_export(
         wide, f"{out_root}/export/precinct_hour_parquet", f"{out_root}/export/precinct_hour_csv"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hourpanel.operators import calendar, export, panel, profiling, spatial, staging
 from hourpanel.operators.learner import LearnerParams
 from hourpanel.plans import stages
-from hourpanel.sources import ingest, schemas
+from hourpanel.sources import ingest, schemas, sinks
 from hourpanel.sources.ingest import Window
 
 
@@ -193,19 +193,49 @@ def test_landed_trees_to_export(spark, tmp_path):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
     today, window = date(2026, 9, 1), Window(date(2026, 8, 1), date(2026, 8, 4))
     rows = [(loc, f"2026-08-0{d}", h, loc * 10 + h + d) for loc in (1, 2, 3) for d in range(1, 5) for h in range(24)]
-    ingest.ingest_counts(counts(spark, rows), f"{raw}/{schemas.COUNTS.name}", window, today)
-    ingest.ingest_sensors(sensors(spark, [(1, 0.0, 1.0), (2, 0.5, 1.0), (3, 9.0, 9.0)]), f"{raw}/{schemas.SENSORS.name}")
     weather = spark.createDataFrame(
         [(f"2026-08-0{d}T{h:02d}:00", 8.0, 0.1, 0.2, 3.0, 4) for d in range(1, 5) for h in range(24)],
         "time string, temperature_2m double, precipitation double, rain double, wind_speed_10m double, cloud_cover bigint")
-    ingest.ingest_weather(weather, f"{raw}/{schemas.WEATHER.name}", window, today)
     address = spark.createDataFrame(
         [("2024", "b1", "p", "p", "North", "t", "a", "1", "x", 1.0, 0.0, None), ("2024", "b2", "p", "p", "South", "t", "a", "1", "x", 10.0, 10.0, None)],
         schemas.ADDRESSES.schema)
-    ingest.ingest_census(address, schemas.ADDRESSES, f"{raw}/{schemas.ADDRESSES.name}")
+    frames = {
+        schemas.COUNTS.name: counts(spark, rows),
+        schemas.SENSORS.name: sensors(spark, [(1, 0.0, 1.0), (2, 0.5, 1.0), (3, 9.0, 9.0)]),
+        schemas.WEATHER.name: weather,
+        schemas.HOLIDAYS.name: spark.createDataFrame([(date(2026, 8, 2), "Day")], schemas.HOLIDAYS.schema),
+        schemas.ADDRESSES.name: address,
+    }
+    audit = stages.ingest_all(spark, frames, raw, window, today)
+    assert [(r.source, r.rows_written) for r in audit.collect()] == [
+        (schemas.COUNTS.name, 288), (schemas.SENSORS.name, 3), (schemas.WEATHER.name, 96),
+        (schemas.HOLIDAYS.name, 1), (schemas.ADDRESSES.name, 2)]
+    checks = {r.name: r.passed for r in stages.check_landed(spark, raw).collect()}
+    assert checks == {"sensor_churn": True, "zero_versus_outage": True, "duplicate_records": True,
+                      "timestamp_continuity": True, "sensor_relocation": False}
     wide = stages.run(spark, raw, out, LearnerParams(trees=2, depth=2))
     assert wide.count() == 2 * 4 * 24 and len(wide.columns) == 29
     assert wide.filter("lgbm_pred is not null").count() == 2 * 3 * 24
     assert wide.filter("mase_baseline is null or mase_lgbm is null").isEmpty()
     folds = spark.read.json(f"{out}/metrics/folds")
     assert folds.count() == 3
+    pooled, by_series = stages.read_scores(spark, f"{out}/metrics")
+    assert pooled.first().note is None and pooled.first().seasonality_hours == 24
+    assert by_series.count() == 2
+    assert wide.filter("is_public_holiday").select("sensing_date").distinct().count() == 1
+
+
+def test_one_date_leaves_a_note(spark):
+    frame = spark.createDataFrame(
+        [("A", date(2026, 1, 1), 0, 1, 1.0)], "precinct string, sensing_date date, hourday int, pedestriancount bigint, baseline_pred double")
+    scores = stages.evaluate(frame)
+    assert scores.pooled.first().note == stages.TOO_FEW_DATES
+    assert scores.folds.isEmpty()
+
+
+def test_mart_as_a_catalog_table(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS marts LOCATION '{tmp_path}/marts'")
+    df = stages.build_mart(staged_sample(spark))
+    for _ in range(2):
+        assert sinks.save_mart(df, "marts.mart_precinct_hour").count() == 4
+    spark.sql("DROP DATABASE marts CASCADE")
