@@ -1,15 +1,17 @@
 """Source quality checks: churn, zero versus outage, duplicates, continuity, relocation.
 
-All count checks start from one grain table, ``quality_grain``: one row per (location, date, hour)
-with the tallies of its rows. It is the only pass over the facts and combines copies before the
-shuffle, so a dominant location or a dominant group of copies costs one row per task. Gaps are
-counted by arithmetic (expected hours minus hours present); the grid of expected hours is built
-only to list gaps. Every check gives one record: name, passed, count_affected, sample_rows (JSON
-strings, first rows in key order), detail (JSON).
+All count checks start from a ``Tally``. Its grain table has one row per (location, date, hour) with
+the number of rows and of zero, null and unstamped ones. It is the only pass over the facts and
+combines copies before the shuffle, so a dominant location or group of copies costs one row per
+task. Two small tables sum it by location and by day, and every count comes from those: gaps by
+arithmetic, as expected hours minus hours present. The grid of expected hours is built only to list
+gaps. Every check gives one record: name, passed, count_affected, sample_rows (JSON strings, first
+rows in key order), detail (JSON).
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -48,7 +50,8 @@ def quality_grain(counts: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFr
 
 
 def by_location(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFrame:
-    """Grain tallies summed per location, with its first and last date."""
+    """Grain tallies summed per location, null location included, with first and last date."""
+    copied = F.col("n") > 1
     return grain.groupBy(spec.series).agg(
         F.count_if("expected").alias("present"),
         F.min(spec.date).alias("first_date"),
@@ -56,21 +59,56 @@ def by_location(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFrame
         F.sum("zeros").alias("zeros"),
         F.sum("nulls").alias("nulls"),
         F.sum("unstamped").alias("unstamped"),
+        F.sum(F.when(copied, F.col("n")).otherwise(0)).alias("copied_rows"),
+        F.count_if(copied).alias("copied_groups"),
     )
 
 
-def short_days(grain: DataFrame, spec: PanelSpec) -> Column:
+def by_day(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFrame:
+    """Number of expected keys present per day."""
+    return grain.filter("expected").groupBy(spec.date).agg(F.count(F.lit(1)).alias("present"))
+
+
+@dataclass(frozen=True)
+class Tally:
+    """The grain table and its sums by location and by day."""
+
+    grain: DataFrame
+    locations: DataFrame
+    days: DataFrame
+    spec: PanelSpec
+
+
+def tally(counts: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> Tally:
+    """Write the three tables the checks read."""
+    grain = materialise(quality_grain(counts, spec), "quality-grain")
+    return Tally(
+        grain,
+        materialise(by_location(grain, spec), "quality-locations"),
+        materialise(by_day(grain, spec), "quality-days"),
+        spec,
+    )
+
+
+def _span(t: Tally) -> DataFrame:
+    """One row with the first and last date of the extract; none without dates."""
+    ends = t.locations.agg(F.min("first_date").alias("low"), F.max("last_date").alias("high"))
+    return ends.filter("low is not null")
+
+
+def _known_locations(t: Tally) -> DataFrame:
+    return t.locations.select(t.spec.series).filter(F.col(t.spec.series).isNotNull())
+
+
+def short_days(t: Tally) -> Column:
     """Array of (day, missing) for the days that lack a wall hour: a few per year.
 
     It covers the whole calendar years the dates touch.
     """
-    first = F.trunc(F.min(spec.date), "year")
-    last = F.date_sub(F.add_months(F.trunc(F.max(spec.date), "year"), 12), 1)
-    span = grain.agg(first.alias("low"), last.alias("high"))
-    days = span.filter("low is not null").select(
-        F.explode(F.sequence("low", "high")).alias("day")
-    )
-    missing = (24 - F.size(expected_hours(F.col("day"), spec.tz))).alias("missing")
+    first = F.trunc("low", "year")
+    last = F.date_sub(F.add_months(F.trunc("high", "year"), 12), 1)
+    days = _span(t).select(F.explode(F.sequence(first, last)).alias("day"))
+    missing = (24 - F.size(expected_hours(F.col("day"), t.spec.tz))).alias("missing")
     return (
         days.select("day", missing).filter("missing > 0")
         .agg(F.collect_list(F.struct("day", "missing"))).scalar()
@@ -90,11 +128,12 @@ def hours_between(first: Column, last: Column, short: Column) -> Column:
 # ---------------------------------------------------------------- sensor churn
 
 
-def churn_status(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFrame:
+def churn_status(t: Tally) -> DataFrame:
     """Per (year, location): hours present, hours of the year, and whether all are covered."""
+    spec = t.spec
     year = F.year(spec.date)
     present = (
-        grain.filter(F.col(spec.date).isNotNull() & F.col(spec.series).isNotNull())
+        t.grain.filter(F.col(spec.date).isNotNull() & F.col(spec.series).isNotNull())
         .groupBy(year.alias("year"), spec.series)
         .agg(F.count_if("expected").alias("present_hours"))
     )
@@ -102,19 +141,20 @@ def churn_status(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFram
     last = F.make_date("year", F.lit(12), F.lit(31))
     length = hours_between(first, last, F.col("_short"))
     return (
-        present.withColumn("_short", short_days(grain, spec))
+        present.withColumn("_short", short_days(t))
         .withColumn("expected_hours", length)
         .withColumn("full_year", F.col("present_hours") == F.col("expected_hours"))
         .drop("_short")
     )
 
 
-def sensor_churn(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFrame:
+def sensor_churn(t: Tally) -> DataFrame:
     """Locations that do not cover a whole calendar year. Always passes.
 
     ``detail`` gives counts per year; ``churn_status`` gives the locations themselves.
     """
-    status = churn_status(grain, spec)
+    spec = t.spec
+    status = churn_status(t)
     per_year = status.groupBy("year", "expected_hours").agg(
         F.count_if("full_year").alias("full"), F.count_if(~F.col("full_year")).alias("partial")
     )
@@ -134,14 +174,14 @@ def sensor_churn(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFram
 # ---------------------------------------------------------- zero versus outage
 
 
-def zero_outage_counts(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFrame:
+def zero_outage_counts(t: Tally) -> DataFrame:
     """Genuine zeros, null counts and gaps, as one row.
 
     A gap is an expected hour of any day between the first and last date of the whole extract at
     which a location has no row.
     """
-    totals = by_location(grain, spec).agg(
-        F.count(spec.series).alias("locations"),
+    totals = t.locations.agg(
+        F.count(t.spec.series).alias("locations"),
         F.sum("present").alias("present"),
         F.min("first_date").alias("first"),
         F.max("last_date").alias("last"),
@@ -150,20 +190,21 @@ def zero_outage_counts(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> Da
     )
     expected = F.col("locations") * hours_between(F.col("first"), F.col("last"), F.col("_short"))
     gaps = F.coalesce(expected - F.col("present"), F.lit(0))
-    return totals.withColumn("_short", short_days(grain, spec)).select(
+    return totals.withColumn("_short", short_days(t)).select(
         "genuine_zeros", "null_counts", gaps.alias("gaps")
     )
 
 
-def missing_hours(grain: DataFrame, days: DataFrame, spec: PanelSpec) -> DataFrame:
+def missing_hours(t: Tally, days: DataFrame) -> DataFrame:
     """Expected (location, date, hour) keys without a row, for given (location, date) rows.
 
     Present hours are gathered per day (at most 24), so the grid that is joined has one row per
     location and day and hours are expanded only where they are missing.
     """
+    spec = t.spec
     keys = [spec.series, spec.date]
     present = (
-        grain.filter("expected").groupBy(*keys)
+        t.grain.filter("expected").groupBy(*keys)
         .agg(F.collect_set(F.col(spec.hour).cast("int")).alias("_present"))
     )
     none = F.array().cast("array<int>")
@@ -173,52 +214,47 @@ def missing_hours(grain: DataFrame, days: DataFrame, spec: PanelSpec) -> DataFra
     return days.join(present, keys, "left").select(*keys, F.explode(absent).alias(spec.hour))
 
 
-def gaps_global(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFrame:
+def gaps_global(t: Tally) -> DataFrame:
     """All gaps inside the date range of the whole extract."""
-    low = grain.agg(F.min(spec.date)).scalar()
-    high = grain.agg(F.max(spec.date)).scalar()
-    locations = grain.select(spec.series).filter(F.col(spec.series).isNotNull()).distinct()
-    days = locations.withColumn(spec.date, F.explode(F.sequence(low, high)))
-    return missing_hours(grain, days, spec)
+    low, high = _span(t).select("low").scalar(), _span(t).select("high").scalar()
+    days = _known_locations(t).withColumn(t.spec.date, F.explode(F.sequence(low, high)))
+    return missing_hours(t, days)
 
 
-def gaps_own_range(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFrame:
-    """All gaps inside each location's own date range."""
-    ranges = by_location(grain, spec).filter(
-        F.col(spec.series).isNotNull() & F.col("first_date").isNotNull()
-    )
-    days = ranges.select(
-        spec.series, F.explode(F.sequence("first_date", "last_date")).alias(spec.date)
+def _own_days(t: Tally, locations: DataFrame) -> DataFrame:
+    return locations.select(
+        t.spec.series, F.explode(F.sequence("first_date", "last_date")).alias(t.spec.date)
     )
-    return missing_hours(grain, days, spec)
 
 
-def _first_global_gaps(grain: DataFrame, spec: PanelSpec) -> DataFrame:
+def gaps_own_range(t: Tally) -> DataFrame:
+    """All gaps inside each location's own date range."""
+    known = F.col(t.spec.series).isNotNull() & F.col("first_date").isNotNull()
+    return missing_hours(t, _own_days(t, t.locations.filter(known)))
+
+
+def _first_global_gaps(t: Tally) -> DataFrame:
     """Gaps of the earliest days that have any: enough for the sample, without the whole grid."""
-    locations = grain.select(spec.series).filter(F.col(spec.series).isNotNull()).distinct()
-    total = locations.agg(F.count(F.lit(1))).scalar()
-    span = grain.agg(F.min(spec.date).alias("low"), F.max(spec.date).alias("high"))
-    days = span.filter("low is not null").select(
-        F.explode(F.sequence("low", "high")).alias(spec.date)
-    )
-    found = grain.filter("expected").groupBy(spec.date).agg(F.count(F.lit(1)).alias("_n"))
-    wanted = total * F.size(expected_hours(F.col(spec.date), spec.tz))
+    date = t.spec.date
+    total = _known_locations(t).agg(F.count(F.lit(1))).scalar()
+    days = _span(t).select(F.explode(F.sequence("low", "high")).alias(date))
+    wanted = total * F.size(expected_hours(F.col(date), t.spec.tz))
     lacking = (
-        days.join(found, spec.date, "left")
-        .filter(F.coalesce("_n", F.lit(0)) < wanted)
-        .select(spec.date).orderBy(spec.date).limit(SAMPLE_ROWS)
+        days.join(t.days, date, "left")
+        .filter(F.coalesce("present", F.lit(0)) < wanted)
+        .select(date).orderBy(date).limit(SAMPLE_ROWS)
     )
-    chosen = lacking.agg(F.collect_list(spec.date)).scalar()
-    grid = locations.withColumn(spec.date, F.explode(chosen))
-    return missing_hours(grain, grid, spec)
+    chosen = lacking.agg(F.collect_list(date)).scalar()
+    return missing_hours(t, _known_locations(t).withColumn(date, F.explode(chosen)))
 
 
-def zero_versus_outage(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFrame:
+def zero_versus_outage(t: Tally) -> DataFrame:
     """A present 0 is a genuine zero, a null is unknown, an absent hour is a gap.
 
     Passes when there are no nulls; gaps and nulls are affected.
     """
-    keys = [spec.series, spec.date, spec.hour]
+    spec, grain = t.spec, t.grain
+    keys = list(spec.grain)
 
     def labelled(df: DataFrame, name: str, rank: int) -> DataFrame:
         return df.select(*keys, F.lit(name).alias("class"), F.lit(rank).alias("_rank")).orderBy(
@@ -228,10 +264,10 @@ def zero_versus_outage(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> Da
     rows = (
         labelled(grain.filter("zeros > 0"), "genuine_zero", 0)
         .unionByName(labelled(grain.filter("nulls > 0"), "null_count", 1))
-        .unionByName(labelled(_first_global_gaps(grain, spec), "gap", 2))
+        .unionByName(labelled(_first_global_gaps(t), "gap", 2))
     )
     sample = _sample(rows, ["_rank", spec.date, spec.hour, spec.series], [*keys, "class"])
-    counts = zero_outage_counts(grain, spec)
+    counts = zero_outage_counts(t)
     return counts.select(
         F.lit("zero_versus_outage").alias("name"),
         (F.col("null_counts") == 0).alias("passed"),
@@ -244,27 +280,21 @@ def zero_versus_outage(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> Da
 # ------------------------------------------------------------------ duplicates
 
 
-def duplicate_counts(
-    grain: DataFrame, spec: PanelSpec = LOCATION_PANEL,
-    watched: tuple[int, ...] = WATCHED_LOCATIONS,
-) -> DataFrame:
+def duplicate_counts(t: Tally, watched: tuple[int, ...] = WATCHED_LOCATIONS) -> DataFrame:
     """Rows in duplicate groups, number of groups, and groups of the watched locations."""
-    watch = F.coalesce(F.col(spec.series).isin(*watched), F.lit(False))
-    return grain.filter("n > 1").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("affected_rows"),
-        F.count(F.lit(1)).alias("duplicate_groups"),
-        F.count_if(watch).alias("watched_groups"),
+    of_watched = F.when(F.col(t.spec.series).isin(*watched), F.col("copied_groups"))
+    return t.locations.agg(
+        F.coalesce(F.sum("copied_rows"), F.lit(0)).alias("affected_rows"),
+        F.coalesce(F.sum("copied_groups"), F.lit(0)).alias("duplicate_groups"),
+        F.coalesce(F.sum(of_watched), F.lit(0)).alias("watched_groups"),
     )
 
 
-def duplicate_records(
-    grain: DataFrame, spec: PanelSpec = LOCATION_PANEL,
-    watched: tuple[int, ...] = WATCHED_LOCATIONS,
-) -> DataFrame:
+def duplicate_records(t: Tally, watched: tuple[int, ...] = WATCHED_LOCATIONS) -> DataFrame:
     """Keys with more than one row; null keys count as equal."""
-    keys = list(spec.grain)
-    sample = _sample(grain.filter("n > 1"), keys, [*keys, "n"])
-    return duplicate_counts(grain, spec, watched).select(
+    keys = list(t.spec.grain)
+    sample = _sample(t.grain.filter("n > 1"), keys, [*keys, "n"])
+    return duplicate_counts(t, watched).select(
         F.lit("duplicate_records").alias("name"),
         (F.col("duplicate_groups") == 0).alias("passed"),
         F.col("affected_rows").alias("count_affected"),
@@ -276,29 +306,26 @@ def duplicate_records(
 # ------------------------------------------------------------------ continuity
 
 
-def location_gaps(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFrame:
+def location_gaps(t: Tally) -> DataFrame:
     """Number of gaps inside each location's own date range."""
-    known = F.col(spec.series).isNotNull() & F.col("first_date").isNotNull()
+    known = F.col(t.spec.series).isNotNull() & F.col("first_date").isNotNull()
     expected = hours_between(F.col("first_date"), F.col("last_date"), F.col("_short"))
-    ranges = by_location(grain, spec).withColumn("_short", short_days(grain, spec))
-    return ranges.filter(known).select(
-        spec.series, "first_date", "last_date", (expected - F.col("present")).alias("gaps")
+    return t.locations.filter(known).withColumn("_short", short_days(t)).select(
+        t.spec.series, "first_date", "last_date", (expected - F.col("present")).alias("gaps")
     )
 
 
-def continuity_counts(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFrame:
-    gaps = location_gaps(grain, spec).agg(F.coalesce(F.sum("gaps"), F.lit(0))).scalar()
-    return grain.agg(
+def continuity_counts(t: Tally) -> DataFrame:
+    gaps = location_gaps(t).agg(F.coalesce(F.sum("gaps"), F.lit(0))).scalar()
+    return t.locations.agg(
         F.coalesce(F.sum("unstamped"), F.lit(0)).alias("observed_at_nat")
     ).select(gaps.alias("gaps"), "observed_at_nat")
 
 
-def transition_dates(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFrame:
+def transition_dates(t: Tally) -> DataFrame:
     """Dates in range whose 02:00 has no single instant, as ordered lists for April and October."""
-    span = grain.agg(F.min(spec.date).alias("low"), F.max(spec.date).alias("high"))
-    days = span.filter("low is not null").select(
-        F.explode(F.sequence("low", "high")).alias("day")
-    )
+    spec = t.spec
+    days = _span(t).select(F.explode(F.sequence("low", "high")).alias("day"))
     two = wall_clock(F.col("day"), F.lit(2))
     odd = days.filter(
         F.month("day").isin(4, 10) & (is_nonexistent(two, spec.tz) | is_ambiguous(two, spec.tz))
@@ -313,18 +340,15 @@ def transition_dates(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> Data
     )
 
 
-def timestamp_continuity(grain: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFrame:
+def timestamp_continuity(t: Tally) -> DataFrame:
     """Gaps inside each location's own range, and rows with an hour but no instant."""
-    keys = list(spec.grain)
+    keys = list(t.spec.grain)
     # The first gaps in key order belong to the first locations that have any.
-    leading = (
-        location_gaps(grain, spec).filter("gaps > 0").orderBy(spec.series).limit(SAMPLE_ROWS)
-        .select(spec.series, F.explode(F.sequence("first_date", "last_date")).alias(spec.date))
-    )
-    gap_sample = _sample(missing_hours(grain, leading, spec), keys, keys)
-    odd_sample = _sample(grain.filter("unstamped > 0"), keys, keys)
-    counts = continuity_counts(grain, spec)
-    transitions = transition_dates(grain, spec)
+    leading = location_gaps(t).filter("gaps > 0").orderBy(t.spec.series).limit(SAMPLE_ROWS)
+    gap_sample = _sample(missing_hours(t, _own_days(t, leading)), keys, keys)
+    odd_sample = _sample(t.grain.filter("unstamped > 0"), keys, keys)
+    counts = continuity_counts(t)
+    transitions = transition_dates(t)
     april = transitions.select("april_fallback_dates").scalar()
     october = transitions.select("october_spring_forward_dates").scalar()
     return counts.select(
@@ -406,14 +430,14 @@ def _sample(rows: DataFrame, order: list[str], show: list[str]) -> Column:
 def run_all_checks(
     counts: DataFrame, sensors: DataFrame | None = None, spec: PanelSpec = LOCATION_PANEL
 ) -> DataFrame:
-    """The five checks in fixed order, one record each, over one materialised grain table."""
-    grain = materialise(quality_grain(counts, spec), "quality-grain")
+    """The five checks in fixed order, one record each, over one tally."""
+    t = tally(counts, spec)
     pairs = materialise(coordinate_pairs(counts, sensors, spec), "quality-coordinates")
     records = [
-        sensor_churn(grain, spec),
-        zero_versus_outage(grain, spec),
-        duplicate_records(grain, spec),
-        timestamp_continuity(grain, spec),
+        sensor_churn(t),
+        zero_versus_outage(t),
+        duplicate_records(t),
+        timestamp_continuity(t),
         sensor_relocation(pairs, spec),
     ]
     return reduce(DataFrame.unionByName, records)

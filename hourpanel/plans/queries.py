@@ -65,8 +65,8 @@ def staged_counts(spark: SparkSession, sf: str) -> DataFrame:
     return staging.stage_counts(given.counts(spark, sf))
 
 
-def grain_of(spark: SparkSession, sf: str) -> DataFrame:
-    return materialise(quality.quality_grain(given.counts(spark, sf)), "grain")
+def tally_of(spark: SparkSession, sf: str) -> quality.Tally:
+    return quality.tally(given.counts(spark, sf))
 
 
 def pairs_of(spark: SparkSession, sf: str) -> DataFrame:
@@ -548,22 +548,22 @@ def rolling_origins(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def check_churn(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.churn_status(grain_of(spark, sf))
+    return quality.churn_status(tally_of(spark, sf))
 
 
 @query
 def check_zero_outage(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.zero_outage_counts(grain_of(spark, sf))
+    return quality.zero_outage_counts(tally_of(spark, sf))
 
 
 @query
 def check_gaps_global(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.gaps_global(grain_of(spark, sf))
+    return quality.gaps_global(tally_of(spark, sf))
 
 
 @query
 def check_gaps_own_range(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.gaps_own_range(grain_of(spark, sf))
+    return quality.gaps_own_range(tally_of(spark, sf))
 
 
 @query
@@ -573,15 +573,14 @@ def check_duplicates(spark: SparkSession, sf: str) -> DataFrame:
         F.col("user_id").alias("location_id"), F.to_date("ts").alias("sensing_date"),
         F.hour("ts").alias("hourday"),
     )
-    return quality.duplicate_counts(quality.quality_grain(events))
+    return quality.duplicate_counts(quality.tally(events))
 
 
 @query
 def check_continuity(spark: SparkSession, sf: str) -> DataFrame:
     """Own-range gaps and rows without an instant over both clock changes."""
     counts = ingest.with_observed_at(_transition_counts(spark, sf))
-    grain = materialise(quality.quality_grain(counts), "grain")
-    return quality.continuity_counts(grain)
+    return quality.continuity_counts(quality.tally(counts))
 
 
 @query

@@ -10,7 +10,7 @@ from hourpanel.sources.ingest import with_observed_at
 
 
 def grain(spark, rows):
-    return quality.quality_grain(with_observed_at(counts(spark, rows)))
+    return quality.tally(with_observed_at(counts(spark, rows)))
 
 
 def test_duplicates_name_the_watched_sensor(spark):
