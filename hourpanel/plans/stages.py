@@ -8,6 +8,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourpanel.operators import (
     calendar, export, features, learner, metrics, panel, quality, spatial, staging,
@@ -81,9 +82,22 @@ class Staged:
     blocks: DataFrame
 
 
-def landed(spark: SparkSession, raw_root: str, source: Source) -> DataFrame:
-    """A landed source below ``raw_root``."""
-    return readers.read_tree(spark, f"{raw_root}/{source.name}", source.landed)
+def landed(
+    spark: SparkSession, raw_root: str, source: Source, window: Window | None = None
+) -> DataFrame:
+    """A landed source below ``raw_root``.
+
+    With ``window`` only the day folders inside it are read, for sources partitioned by day.
+    """
+    root = f"{raw_root}/{source.name}"
+    if window is None or source.date_column is None:
+        return readers.read_tree(spark, root, source.landed)
+    day = T.StructField(sinks.DAY_PARTITION, T.DateType())
+    tree = readers.read_tree(
+        spark, root, T.StructType([*source.landed, day]), sinks.DAY_PARTITION
+    )
+    inside = F.col(sinks.DAY_PARTITION).between(F.lit(window.start), F.lit(window.end))
+    return tree.filter(inside).drop(sinks.DAY_PARTITION)
 
 
 def stage_all(raw: dict[str, DataFrame]) -> Staged:
@@ -99,10 +113,10 @@ def stage_all(raw: dict[str, DataFrame]) -> Staged:
     )
 
 
-def stage_landed(spark: SparkSession, raw_root: str) -> Staged:
+def stage_landed(spark: SparkSession, raw_root: str, window: Window | None = None) -> Staged:
     names = ("COUNTS", "SENSORS", "WEATHER", "HOLIDAYS", "TERMS", "EVENTS", "ADDRESSES")
     sources = [getattr(schemas, name) for name in names]
-    return stage_all({s.name: landed(spark, raw_root, s) for s in sources})
+    return stage_all({s.name: landed(spark, raw_root, s, window) for s in sources})
 
 
 def day_calendar(staged: Staged) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
@@ -64,9 +65,11 @@ def read_foreign_tree(spark: SparkSession, root: str, schema: T.StructType) -> D
     if not tree.has_parquet():
         return empty(spark, schema)
     reader = spark.read.option("recursiveFileLookup", True)
+    folders = tree.folders() or [tree.root]
+    with ThreadPoolExecutor(16) as pool:
+        schemas = list(pool.map(lambda folder: reader.parquet(folder).schema, folders))
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for folder in tree.folders() or [tree.root]:
-        found = reader.parquet(folder).schema
+    for folder, found in zip(folders, schemas, strict=True):
         groups.setdefault(found.json(), (found, []))[1].append(folder)
     return union_by_name(
         [

@@ -210,6 +210,8 @@ def test_landed_trees_to_export(spark, tmp_path):
     assert [(r.source, r.rows_written) for r in audit.collect()] == [
         (schemas.COUNTS.name, 288), (schemas.SENSORS.name, 3), (schemas.WEATHER.name, 96),
         (schemas.HOLIDAYS.name, 1), (schemas.ADDRESSES.name, 2)]
+    one_day = stages.landed(spark, raw, schemas.COUNTS, Window(date(2026, 8, 2), date(2026, 8, 2)))
+    assert one_day.count() == 72 and "part_day" in plan_of(one_day).split("PartitionFilters", 1)[1]
     checks = {r.name: r.passed for r in stages.check_landed(spark, raw).collect()}
     assert checks == {"sensor_churn": True, "zero_versus_outage": True, "duplicate_records": True,
                       "timestamp_continuity": True, "sensor_relocation": False}
