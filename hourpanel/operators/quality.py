@@ -195,16 +195,18 @@ def zero_outage_counts(t: Tally) -> DataFrame:
     )
 
 
-def missing_hours(t: Tally, days: DataFrame) -> DataFrame:
+def missing_hours(t: Tally, days: DataFrame, near: Column | None = None) -> DataFrame:
     """Expected (location, date, hour) keys without a row, for given (location, date) rows.
 
     Present hours are gathered per day (at most 24), so the grid that is joined has one row per
-    location and day and hours are expanded only where they are missing.
+    location and day and hours are expanded only where they are missing. ``near`` keeps only grain
+    rows that can meet ``days``, when those are few.
     """
     spec = t.spec
     keys = [spec.series, spec.date]
+    grain = t.grain if near is None else t.grain.filter(near)
     present = (
-        t.grain.filter("expected").groupBy(*keys)
+        grain.filter("expected").groupBy(*keys)
         .agg(F.collect_set(F.col(spec.hour).cast("int")).alias("_present"))
     )
     none = F.array().cast("array<int>")
@@ -245,7 +247,8 @@ def _first_global_gaps(t: Tally) -> DataFrame:
         .select(date).orderBy(date).limit(SAMPLE_ROWS)
     )
     chosen = lacking.agg(F.collect_list(date)).scalar()
-    return missing_hours(t, _known_locations(t).withColumn(date, F.explode(chosen)))
+    grid = _known_locations(t).withColumn(date, F.explode(chosen))
+    return missing_hours(t, grid, F.array_contains(chosen, F.col(date)))
 
 
 def zero_versus_outage(t: Tally) -> DataFrame:
@@ -345,7 +348,9 @@ def timestamp_continuity(t: Tally) -> DataFrame:
     keys = list(t.spec.grain)
     # The first gaps in key order belong to the first locations that have any.
     leading = location_gaps(t).filter("gaps > 0").orderBy(t.spec.series).limit(SAMPLE_ROWS)
-    gap_sample = _sample(missing_hours(t, _own_days(t, leading)), keys, keys)
+    chosen = leading.agg(F.collect_list(t.spec.series)).scalar()
+    near = F.array_contains(chosen, F.col(t.spec.series))
+    gap_sample = _sample(missing_hours(t, _own_days(t, leading), near), keys, keys)
     odd_sample = _sample(t.grain.filter("unstamped > 0"), keys, keys)
     counts = continuity_counts(t)
     transitions = transition_dates(t)
