@@ -21,13 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourpanel.llm.text import SHINGLE, combined, encoded, map_batches, mixed, multipliers, slices, text_shingles, word_hashes
+from hourpanel.llm.text import SHINGLE, combined, encoded, in_table, key_table, map_batches, mixed, multipliers, slices, text_shingles, word_hashes
 from hourpanel.session import materialise
 
 FUNCTIONS = 64
 SMALLEST = 1  # shingles of the smallest size class
 PERCENT = 80  # a hit: 100 * shared >= PERCENT * item shingles
-TABLE_BITS = 24  # the bit table has 2**24 bits (2 MB), whatever the number of items
 SEED = 4211
 
 
@@ -82,23 +81,6 @@ def described_items(items: DataFrame) -> DataFrame:
     return materialise(found.join(numbered.select("item_no", "item_id"), "item_no"), "item_sets")
 
 
-def bit_table(described: DataFrame) -> tuple[np.ndarray, list[int]]:
-    """Which key slots any item uses, as 2**TABLE_BITS bits, and the size classes in use. At most that many slots reach the driver."""
-    slot = F.shiftrightunsigned("key", 64 - TABLE_BITS)
-    words = (
-        described.select(F.explode("keys").alias("key"))
-        .select(slot.alias("slot"))
-        .distinct()
-        .groupBy(F.shiftright("slot", 6).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
-    )
-    table = np.zeros(1 << (TABLE_BITS - 6), np.uint64)
-    for row in words.toLocalIterator():
-        table[row["word"]] = np.uint64(row["bits"] & 0xFFFFFFFFFFFFFFFF)
-    widths = sorted(r["width"] for r in described.select("width").distinct().collect())
-    return np.unpackbits(table.view(np.uint8), bitorder="little"), widths
-
-
 def _windows(full: np.ndarray, begin: np.ndarray, count: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Blocks of ``width`` shingles of every document: start of each block and the document's number."""
     blocks = -(-count // width)
@@ -116,7 +98,7 @@ def document_keys(raw: list[bytes], table: np.ndarray, widths: list[int]) -> tup
     docs, keys = [], []
 
     def look(doc: np.ndarray, key: np.ndarray) -> None:
-        hit = table[(key >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] != 0
+        hit = in_table(table, key)
         if hit.any():
             docs.append(doc[hit])
             keys.append(key[hit])
@@ -166,6 +148,17 @@ def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("row_no"), batch.column("item_no"), pa.array(shared, pa.int64())], ["row_no", "item_no", "shared"])
 
 
+def texts_of(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose text_key is among ``keys``, and a few more, without moving any other text."""
+    table = texts.sparkSession.sparkContext.broadcast(key_table(keys))
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_table(table.value, batch.column("text_key").to_numpy())))
+
+    return map_batches(texts, keep, "doc_id long, text_key long, text string")
+
+
 def contained_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs (doc_id, item_id, n_item, shared, containment, text_key) with 100 * shared >= percent * n_item on distinct five-word shingles.
 
@@ -174,8 +167,8 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -
     document row gives its pairs once per row, and so does a repeated item row. No items or no documents: no rows.
     """
     described = described_items(items)
-    table, widths = bit_table(described)
-    widths = [w for w in widths if w]
+    table = key_table(described.select(F.explode("keys").alias("key")))
+    widths = sorted(r["width"] for r in described.select("width").distinct().collect() if r["width"])
     shared_table = docs.sparkSession.sparkContext.broadcast(table)
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,9 +186,9 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -
     item_keys = described.select("item_no", F.explode("keys").alias("key"))
     pairs = hits.join(item_keys, "key").select("doc_id", "text_key", "item_no").distinct()
     pairs = materialise(pairs.select(F.col("doc_id").alias("p_id"), F.col("text_key").alias("p_key"), "item_no"), "leak_pairs")
-    numbered = texts.join(
-        pairs.select("p_id", "p_key").distinct(), F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("text_key") == F.col("p_key")), "left_semi"
-    )
+    held = texts_of(texts, pairs.select(F.col("p_key").alias("key")))
+    wanted = pairs.select("p_id", "p_key").distinct()
+    numbered = held.join(wanted, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("text_key") == F.col("p_key")), "left_semi")
     numbered = materialise(numbered.select(F.monotonically_increasing_id().alias("row_no"), "*"), "leak_texts")
     joined = (
         numbered.join(pairs, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("text_key") == F.col("p_key")))
@@ -213,4 +206,4 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that contain no item. Rows are told apart by identifier and text."""
     found = contained_items(docs, items).select(F.col("doc_id").alias("l_id"), F.col("text_key").alias("l_key")).distinct()
     match = docs["doc_id"].cast("long").eqNullSafe(F.col("l_id")) & (F.xxhash64(docs["text"]) == F.col("l_key"))
-    return docs.join(materialise(found, "leaks"), match, "left_anti")
+    return docs.hint("merge").join(materialise(found, "leaks"), match, "left_anti")

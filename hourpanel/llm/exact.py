@@ -116,7 +116,7 @@ def survivors(docs: DataFrame) -> DataFrame:
     kept = materialise(kept.select(F.col("doc_id").alias("k_id"), F.col("text_sha256").alias("k_sha"), "times"), "hash_kept")
     tagged = docs.withColumn("__sha", F.sha2(normalised(), 256))
     match = tagged["doc_id"].cast("long").eqNullSafe(F.col("k_id")) & (tagged["__sha"] == F.col("k_sha"))
-    single = tagged.join(kept.where("times = 1"), match, "left_semi")
+    single = tagged.hint("merge").join(kept.where("times = 1"), match, "left_semi")
     repeated = tagged.join(kept.where("times > 1"), match, "left_semi").dropDuplicates(["doc_id", "__sha"])
     return single.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
 

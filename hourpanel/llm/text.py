@@ -139,3 +139,29 @@ def signatures(sets: list[np.ndarray], scale: np.ndarray, shift: np.ndarray) ->
         value = ((flat * scale[k] + shift[k]) >> np.uint64(32)).astype(np.uint32)
         out[filled, k] = np.minimum.reduceat(value, begin)
     return out
+
+
+TABLE_BITS = 26  # a key table has 2**26 bits (8 MB), whatever the number of keys
+
+
+def key_table(keys: DataFrame, column: str = "key") -> np.ndarray:
+    """A table of fixed size with a bit for the leading ``TABLE_BITS`` bits of every key: no key is missed, a few others pass.
+
+    Tasks send the non-zero words of the table, so the driver gets 2**20 of them at most.
+    """
+    slot = F.shiftrightunsigned(F.col(column), 64 - TABLE_BITS)
+    words = (
+        keys.select(slot.alias("slot"))
+        .distinct()
+        .groupBy(F.shiftright("slot", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
+        .toArrow()
+    )
+    table = np.zeros(1 << (TABLE_BITS - 6), np.int64)
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return table.view(np.uint8)
+
+
+def in_table(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = (keys.view(np.uint64) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+    return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
