@@ -25,7 +25,8 @@ BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights rese
 # Wording of public license texts and notices with markup; label, template.
 TEMPLATES = (
     ("gpl", "licensed under the [terms of the] [gnu] general public license [as published by the free software foundation] [either] [version 3] [version 2]"),
-    ("lgpl", "gnu [lesser] [library] general public license"),
+    ("lgpl", "[gnu] lesser general public license"),
+    ("lgpl", "[gnu] library general public license"),
     ("agpl", "gnu affero general public license"),
     ("mit", "[released] [licensed] [available] under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files [the software] to deal in the software without restriction"),
