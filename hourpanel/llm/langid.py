@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourpanel.llm.text import id_bucket, map_batches
+from hourpanel.session import materialise
 
 SAMPLE_DOCS = 400
 SAMPLE_CHARS = 4000
@@ -40,7 +41,9 @@ def training_sample(docs: DataFrame, modulus: int = HELD_OUT) -> DataFrame:
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (id_bucket("doc_id", modulus) != 0)).select("lang", "text")
     turn = F.xxhash64("text", F.lit(31))
     chance = (F.shiftrightunsigned(turn, 11).cast("double")) / F.lit(float(1 << 53))
-    rates = rows.groupBy("lang").agg((F.lit(float(SAMPLE_DOCS)) / F.count("*")).alias("rate")).withColumnRenamed("lang", "r_lang")
+    counts = rows.groupBy(F.col("lang").alias("r_lang")).agg(F.count("*").alias("n"))
+    # written first: the join then knows that it is small, and does not deal the texts by language
+    rates = materialise(counts.select("r_lang", (F.lit(float(SAMPLE_DOCS)) / F.col("n")).alias("rate")), "lang_rates")
     drawn = rows.select("lang", "text", turn.alias("turn"), chance.alias("chance")).join(rates, F.col("lang") == F.col("r_lang"))
     return drawn.where("chance < rate").select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("part"), "turn")
 

@@ -48,6 +48,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, modulus: int = HELD_OUT)
     )
     known = known.withColumn("curve", id_bucket("l_id", modulus) == 1)
     sizes = known.groupBy("toxic", "curve").agg(F.count("*").alias("n")).select(F.col("toxic").alias("s_toxic"), F.col("curve").alias("s_curve"), "n")
+    sizes = materialise(sizes, "toxic_sizes")  # at most four rows, known to be small when it is joined
     chance = F.shiftrightunsigned(F.xxhash64("l_id", F.lit(71)), 11).cast("double") / F.lit(float(1 << 53))
     rate = F.least(F.lit(1.0), F.when(F.col("curve"), F.lit(float(CURVE_DOCS))).otherwise(F.lit(float(FIT_DOCS))) / F.col("n"))
     drawn = known.join(sizes, (F.col("toxic") == F.col("s_toxic")) & (F.col("curve") == F.col("s_curve"))).where(chance < rate)
