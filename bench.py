@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from hourpanel.plans.queries import QUERIES  # noqa: E402
-from hourpanel.session import build_session  # noqa: E402
+from hourpanel.session import build_session, release  # noqa: E402
 
 HEADLINE = (
     "stg_counts",
@@ -37,6 +37,7 @@ HEADLINE = (
     "string_agg_ordered",
     "day_range_replace",
     "gbt_train_predict",
+    "rolling_origin_learner",
 )
 
 
@@ -59,7 +60,9 @@ def main() -> None:
     def run(name: str) -> float:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - start
+        took = time.perf_counter() - start
+        release(spark)
+        return took
 
     run("precinct_hour")
     seconds = {name: round(run(name), 3) for name in wanted}

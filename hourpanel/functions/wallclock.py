@@ -17,9 +17,9 @@ DAY_SECONDS, HOUR_SECONDS = 86_400, 3_600
 
 
 def wall_clock(date: Column, hour: Column) -> Column:
-    """Date and hour label as a wall clock."""
+    """Date and hour label (0 to 23) as a wall clock; null for any other hour."""
     seconds = F.unix_date(date).cast("bigint") * DAY_SECONDS + hour.cast("bigint") * HOUR_SECONDS
-    return F.timestamp_seconds(seconds)
+    return F.when(hour.between(0, 23), F.timestamp_seconds(seconds))
 
 
 def wall_from_ntz(ntz: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hourpanel.functions.scalars import null_if_nan
 from hourpanel.functions.wallclock import day_of_week, localize, wall_clock
 from hourpanel.spec import AREA_PANEL, NUMERIC_FEATURES, SEASON_HOURS, PanelSpec
 
@@ -31,6 +32,8 @@ def add_lag(
         moved.alias(spec.ts),
         F.col(spec.value).cast("double").alias(out),
     ).filter(instant.isNotNull())
+    # one prior row per (series, instant), so that repeated rows never multiply the panel
+    prior = prior.groupBy(spec.series, spec.ts).agg(F.max(out).alias(out))
     timed = panel.filter(instant.isNotNull()).join(prior, [spec.series, spec.ts], "left")
     untimed = panel.filter(instant.isNull()).withColumn(out, F.lit(None).cast("double"))
     return timed.select(*panel.columns, out).unionByName(untimed)
@@ -61,8 +64,10 @@ def filled_columns(df: DataFrame, columns: tuple[str, ...] = NUMERIC_FEATURES) -
 def usable_features(
     df: DataFrame, spec: PanelSpec = AREA_PANEL, columns: tuple[str, ...] = NUMERIC_FEATURES
 ) -> list[str]:
-    """The series column, then the columns that have any value."""
-    filled = df.agg(*(F.count(name).alias(name) for name in columns)).first()
+    """The series column, then the columns that have any value; NaN counts as missing."""
+    filled = df.agg(
+        *(F.count(null_if_nan(F.col(name).cast("double"))).alias(name) for name in columns)
+    ).first()
     return [spec.series, *(name for name in columns if filled[name] > 0)]
 
 

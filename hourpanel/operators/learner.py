@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from hourpanel.functions.scalars import flag
+from hourpanel.functions.scalars import flag, null_if_nan
 from hourpanel.operators.features import complete_rows, usable_features
 from hourpanel.operators.metrics import rolling_origins
 from hourpanel.session import materialise, scratch_path
@@ -75,9 +75,13 @@ def fit(
 def predict(
     model: PipelineModel, df: DataFrame, features: list[str], spec: PanelSpec
 ) -> DataFrame:
-    """Predictions for rows that have every feature; the others get null. Row count is kept."""
-    known = reduce(lambda a, b: a & b, (F.col(name).isNotNull() for name in features))
+    """Predictions for rows that have every feature; the others get null. Row count is kept.
+
+    NaN counts as missing, as in the fit.
+    """
     numeric = [name for name in features if name != spec.series]
+    filled = (null_if_nan(F.col(name).cast("double")).isNotNull() for name in numeric)
+    known = reduce(lambda a, b: a & b, filled, F.col(spec.series).isNotNull())
     scored = model.transform(
         df.filter(known).withColumns({name: F.col(name).cast("double") for name in numeric})
     )

@@ -35,14 +35,14 @@ def profile_counts(counts: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataF
 
 
 def profile_columns(df: DataFrame) -> DataFrame:
-    """Per column: type, non-null and null rows, smallest and largest value as text."""
+    """Per column: type, non-null and null rows, smallest and largest value, in the column's own order, as text."""
     tallies = df.agg(
         F.count(F.lit(1)).alias("_rows"),
         *(
             F.struct(
                 F.count(name).alias("filled"),
-                F.min(F.col(name).cast("string")).alias("low"),
-                F.max(F.col(name).cast("string")).alias("high"),
+                F.min(name).cast("string").alias("low"),
+                F.max(name).cast("string").alias("high"),
             ).alias(name)
             for name in df.columns
         ),

@@ -484,10 +484,11 @@ SELECT count(*) AS n_rows, count(DISTINCT location_id) AS distinct_series,
 FROM counts""", "counts"),
     "profile_columns": "\nUNION ALL ".join(
         f"SELECT '{name}' AS column_name, '{kind_}' AS column_type, count({name}) AS filled_rows, "
-        f"count(*) - count({name}) AS null_rows, min(CAST({name} AS VARCHAR)) AS low, "
-        f"max(CAST({name} AS VARCHAR)) AS high FROM orders"
+        f"count(*) - count({name}) AS null_rows, CAST(min({name}) AS VARCHAR) AS low, "
+        f"CAST(max({name}) AS VARCHAR) AS high FROM orders"
         for name, kind_ in (
-            ("o_orderkey", "bigint"), ("o_orderstatus", "string"), ("o_orderpriority", "string"),
+            ("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+            ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string"),
         )),
     "top_groups": """
 SELECT l_suppkey, l_returnflag, count(*) AS n FROM lineitem GROUP BY ALL

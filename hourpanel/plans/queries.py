@@ -475,10 +475,7 @@ def profile_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def profile_columns(spark: SparkSession, sf: str) -> DataFrame:
-    lines = given.table(spark, sf, "orders").select(
-        "o_orderkey", "o_orderstatus", "o_orderpriority"
-    )
-    return profiling.profile_columns(lines)
+    return profiling.profile_columns(given.table(spark, sf, "orders"))
 
 
 @query

@@ -57,6 +57,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     )
 
 
+def release(spark: SparkSession) -> None:
+    """Delete what this application wrote below the checkpoint folder; call it when results are written."""
+    own = f"{checkpoint_root(spark).rstrip('/')}/hourpanel-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet and read it back.
 

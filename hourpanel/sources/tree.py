@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
 
@@ -29,13 +31,13 @@ class Tree:
         return sorted(s.getPath().toString() for s in self._list(self.root) if s.isDirectory())
 
     def parts(self, column: str) -> dict[str, str]:
-        """Partition value to folder for the folders named ``column=value``."""
+        """Partition value (unescaped) to folder for the folders named ``column=value``."""
         prefix = f"{column}="
         found = {}
         for folder in self.folders():
             name = folder.rsplit("/", 1)[-1]
             if name.startswith(prefix):
-                found[name[len(prefix):]] = folder
+                found[unquote(name[len(prefix):])] = folder
         return found
 
     def files(self, folder: str) -> frozenset[str]:

@@ -65,3 +65,27 @@ def test_text_with_and_without_offset(spark):
 def test_monday_is_zero(spark):
     row = days(spark, "2026-11-30").select(wc.day_of_week(F.col("day")).alias("d")).first()
     assert row.d == 0
+
+
+def test_hours_outside_the_day_have_no_instant(spark):
+    from pyspark.sql import functions as F
+
+    from hourpanel.functions.wallclock import wall_clock
+
+    rows = spark.sql("SELECT date'2026-01-01' AS d, explode(array(-1, 0, 23, 24)) AS h")
+    out = rows.select("h", wall_clock(F.col("d"), F.col("h")).isNull().alias("none")).collect()
+    assert {r["h"]: r["none"] for r in out} == {-1: True, 0: False, 23: False, 24: True}
+
+
+def test_partition_folders_are_unescaped(spark, tmp_path):
+    from hourpanel.sources.tree import Tree
+
+    spark.createDataFrame([("a:b", 1), ("50%", 2), ("x y", 3)], "k string, n int").write.partitionBy("k").parquet(str(tmp_path / "t"))
+    assert set(Tree(spark, str(tmp_path / "t")).parts("k")) == {"a:b", "50%", "x y"}
+
+
+def test_typed_extremes(spark):
+    from hourpanel.operators.profiling import profile_columns
+
+    row = profile_columns(spark.range(1, 61).toDF("n")).first()
+    assert (row["low"], row["high"]) == ("1", "60")
