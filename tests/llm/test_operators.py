@@ -76,6 +76,20 @@ def test_large_group_of_near_copies_is_one_component(table):
     assert {r.component_id for r in out} == {601} and sum(r.kept for r in out) == 1
 
 
+def test_full_regions_of_unlike_documents_descend(table):
+    rng = random.Random(5)
+    shared = [f"s{i}" for i in range(200)]  # about 0.7 alike through the shared passage, 0.9 within a pair
+    rows = []
+    for i in range(120):
+        own = [f"o{i}-{j}" for j in range(45)]
+        other = own[:-6] + [f"p{i}-{j}" for j in range(6)]
+        rows += [(2 * i, " ".join(shared + own)), (2 * i + 1, " ".join(shared + other))]
+    rng.shuffle(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near.near_duplicates(table(rows)).collect()}
+    assert got == linked_components(rows)
+    assert len({c for _, c in got.values()}) == 120
+
+
 def test_token_scan_counts_equal_encoding(table, corpus):
     import tiktoken
 
