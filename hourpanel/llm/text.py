@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,6 +61,19 @@ def slices(raw: list[bytes], limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         yield begin, len(raw)
 
 
+def parts(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose text stays below ``limit`` bytes, so that only one slice at a time becomes Python objects."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    begin = size = 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > begin and size + n > limit:
+            yield batch.slice(begin, i - begin)
+            begin, size = i, 0
+        size += n
+    if begin < batch.num_rows:
+        yield batch.slice(begin)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser, so that sums of hashes become well spread."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
