@@ -8,6 +8,7 @@ the cost per word is a few array operations and no Python object.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,18 @@ def map_batches(df: DataFrame, work: Callable[[Iterable[pa.RecordBatch]], Iterat
     return df.mapInArrow(work, schema)
 
 
+@contextmanager
+def batches_of(spark, limit: int):
+    """Jobs started inside hand Python Arrow batches of about ``limit`` bytes, or one longer row."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def encoded(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a text column, null as empty."""
     return [b"" if x is None else x.encode("utf-8", "replace") for x in column.to_pylist()]
