@@ -172,20 +172,27 @@ def evaluate(tested: DataFrame, panel_rows: DataFrame | None = None) -> Scores:
     """Fold, pooled and per-series scores.
 
     ``tested`` has ``baseline_pred`` and, after a rolling-origin run, the learner column. When it
-    holds only test rows, ``panel_rows`` supplies the first day so that the folds keep their scale.
+    holds only test rows, ``panel_rows`` supplies all other days up to the last test date: they count
+    as training rows and for the scales, never for the errors, so any choice of folds is scored as in
+    the full run.
     """
-    frame = tested
+    frame, dates = tested, None
     if panel_rows is not None:
-        first = panel_rows.agg(F.min("sensing_date")).scalar()
-        frame = panel_rows.filter(F.col("sensing_date") == first).unionByName(
+        dates = tested.select("sensing_date").distinct()
+        last = tested.agg(F.max("sensing_date")).scalar()
+        others = panel_rows.filter(F.col("sensing_date") <= last).join(dates, "sensing_date", "left_anti")
+        frame = others.withColumn("baseline_pred", F.lit(None).cast("double")).unionByName(
             tested, allowMissingColumns=True
         )
     scored = {"mase_baseline": "baseline_pred"}
     if learner.LEARNER_COLUMN in frame.columns:
         scored["mase_lgbm"] = learner.LEARNER_COLUMN
     note = F.when(frame.select(F.count_distinct("sensing_date")).scalar() < 2, TOO_FEW_DATES)
+    folds = metrics.rolling_origin(frame, scored)
+    if dates is not None:
+        folds = folds.join(dates.withColumnRenamed("sensing_date", "test_date"), "test_date", "left_semi")
     return Scores(
-        folds=metrics.rolling_origin(frame, scored),
+        folds=folds,
         pooled=metrics.pooled_mase(frame, scored).withColumns(
             {"seasonality_hours": F.lit(SEASON_HOURS), "note": note}
         ),

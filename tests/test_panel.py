@@ -235,6 +235,22 @@ def test_one_date_leaves_a_note(spark):
     assert scores.folds.isEmpty()
 
 
+def test_thinned_folds_score_as_in_the_full_run(spark):
+    rows = [(a, date(2026, 1, d), h, (d * 37 + h * 11 + len(a) * d * h) % 50, float((d * 5 + h) % 50))
+            for a in ("A", "BB") for d in range(1, 9) for h in range(24)]
+    frame = spark.createDataFrame(rows, "precinct string, sensing_date date, hourday int, pedestriancount bigint, baseline_pred double")
+    every = {r.test_date: r for r in stages.evaluate(frame).folds.collect()}
+    tested = frame.filter("day(sensing_date) in (2, 5, 8)")
+    thinned = stages.evaluate(tested, frame)
+    got = {r.test_date: r for r in thinned.folds.collect()}
+    assert sorted(d.day for d in got) == [2, 5, 8]
+    for day, row in got.items():
+        assert (row.train_rows, row.test_rows) == (every[day].train_rows, every[day].test_rows)
+        assert abs(row.mase_baseline - every[day].mase_baseline) < 1e-12
+    masked = frame.selectExpr("precinct", "sensing_date", "hourday", "pedestriancount", "case when day(sensing_date) in (2, 5, 8) then baseline_pred end baseline_pred")
+    assert abs(thinned.pooled.first().mase_baseline - stages.evaluate(masked).pooled.first().mase_baseline) < 1e-12
+
+
 def test_mart_as_a_catalog_table(spark, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS marts LOCATION '{tmp_path}/marts'")
     df = stages.build_mart(staged_sample(spark))
