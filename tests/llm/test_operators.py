@@ -90,6 +90,19 @@ def test_full_regions_of_unlike_documents_descend(table):
     assert len({c for _, c in got.values()}) == 120
 
 
+def test_links_in_full_regions_need_no_neighbours(table, monkeypatch):
+    rng = random.Random(6)
+    shared = [f"s{i}" for i in range(200)]
+    rows = []
+    for i in range(60):
+        own = [f"o{i}-{j}" for j in range(45)]
+        rows += [(2 * i, " ".join(shared + own)), (2 * i + 1, " ".join(shared + own[:-6] + [f"p{i}-{j}" for j in range(rng.randint(1, 6))]))]
+    met = near.neighbours
+    monkeypatch.setattr(near, "neighbours", lambda *args: met(*args).where("false"))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near.near_duplicates(table(rows)).collect()}
+    assert got == linked_components(rows) and len({c for _, c in got.values()}) == 60
+
+
 def test_token_scan_counts_equal_encoding(table, corpus):
     import tiktoken
 
