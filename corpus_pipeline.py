@@ -14,6 +14,9 @@ from hourpanel.llm import decontam, exact, langid, mixing, near  # noqa: E402
 from hourpanel.session import materialise  # noqa: E402
 
 
+NEAR_PERCENT = 80  # similarity of five-word shingles from which documents are near copies
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents whose language the compression classifier rejects."""
     return langid.recognised(docs)
@@ -26,7 +29,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of every near-duplicate component."""
-    return near.survivors(docs)
+    return near.survivors(docs, NEAR_PERCENT)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

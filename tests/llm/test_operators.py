@@ -372,6 +372,17 @@ def test_exact_duplicates_and_directory(table, corpus, capacity, depth):
     assert all(c.entries <= capacity or c.depth == depth for c in cells)
 
 
+def test_pipeline_drops_near_copies_from_80_percent_on(spark, table):
+    words = [f"w{i}" for i in range(200)]
+    copy = [f"x{i}" if i in (20, 70, 120, 170) else w for i, w in enumerate(words)]
+    rows = [(1, " ".join(words)), (2, " ".join(copy))]
+    a, b = (word_set(r[1]) for r in rows)
+    assert 80 * len(a | b) <= 100 * len(a & b) < 85 * len(a | b)
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    assert [r.doc_id for r in stage(spark, table(rows), "").collect()] == [1]
+    assert all(r.kept for r in near.near_duplicates(table(rows)).collect())  # the query op1 links from 85 on
+
+
 def test_pipeline_equals_brute_force(spark, tmp_path, table, corpus):
     rows = [*corpus, (800, "12 34 !!", "en", "s0", 1), (801, None, "en", "s0", 1)]
     item = " ".join(corpus[9][1].split()[:40])
