@@ -5,8 +5,8 @@
 2. Boosted trees (MLlib) score every candidate from its format and its surroundings. They learn from the
    candidates themselves: a span that an exact pattern accepts is a positive, one that touches none is a
    negative. The sign that makes a phone number exact is left out of the features, so look-alikes score high.
-3. A threshold per kind is set on rows that the trees have not seen, at a precision of ``PRECISION``;
-   candidates above it are added to the exact spans, best first, without overlaps.
+3. A threshold per kind is set at a precision of ``PRECISION`` on all labelled candidates that the trees have not
+   seen, weighted to the mix of labels in the whole corpus; candidates above it are added to the exact spans, best first, without overlaps.
 
 Trees are fitted on a bounded sample of candidates (``FIT_ROWS``); candidates come from all whole texts.
 """
@@ -27,6 +27,8 @@ from hourpanel.session import materialise
 
 KINDS = ("email", "ip", "card", "phone")
 FIT_ROWS = 20_000
+FIT_TENTHS = 7  # of the sample; its other rows are left for the thresholds
+BINS = 10_000  # of the score, for the counts that thresholds are read from
 ROUNDS = 10
 PRECISION = 0.95
 LEAST_ROWS = 40  # of each label, to fit trees at all
@@ -175,14 +177,14 @@ def _merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(out, pa.string()), pa.array(extra, pa.int64())], [*keep, "spans", "n_added"])
 
 
-def thresholds(kind: np.ndarray, score: np.ndarray, label: np.ndarray, precision: float = PRECISION) -> dict[int, float]:
-    """By kind, the smallest score from which on the share of positives is at least ``precision``. Kinds without one are absent."""
+def thresholds(kind: np.ndarray, score: np.ndarray, label: np.ndarray, weight: np.ndarray, precision: float = PRECISION) -> dict[int, float]:
+    """By kind, the smallest score from which on the weighted share of positives is at least ``precision``. Kinds without one are absent."""
     out = {}
     for k in np.unique(kind).tolist():
         own = kind == k
         order = np.argsort(-score[own], kind="stable")
-        s, y = score[own][order], label[own][order]
-        good = (np.cumsum(y) / np.arange(1, len(y) + 1) >= precision) & np.append(s[1:] != s[:-1], True)
+        s, y, w = score[own][order], label[own][order], weight[own][order]
+        good = (np.cumsum(y * w) / np.cumsum(w) >= precision) & np.append(s[1:] != s[:-1], True)
         if good.any():
             out[int(k)] = float(max(0.5, s[np.flatnonzero(good)[-1]]))
     return out
@@ -214,10 +216,14 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
         rate = F.when(F.col("label") == 1, FIT_ROWS / 2 / sizes[1.0]).otherwise(FIT_ROWS / 2 / sizes[0.0])
         turn_of = F.xxhash64("row_no", "kind", "start", "stop")
         chance = F.shiftrightunsigned(turn_of, 11).cast("double") / F.lit(float(1 << 53))
-        sample = materialise(labelled.where(chance < rate).select("kind", "label", "features", (F.abs(turn_of) % 10 >= 3).alias("fit")), "pii_sample").coalesce(2)
-        model = GBTClassifier(maxIter=ROUNDS, maxDepth=3, stepSize=0.3, seed=17, maxBins=32).fit(sample.where("fit"))
-        seen = model.transform(sample.where("NOT fit")).select("kind", "label", vector_to_array("probability")[1].alias("score")).toArrow()
-        limits = thresholds(*(seen.column(c).to_numpy() for c in ("kind", "score", "label")))
+        fit = (chance < rate) & (F.pmod(turn_of, F.lit(10)) < FIT_TENTHS)
+        sample = materialise(labelled.where(fit).select("label", "features"), "pii_sample").coalesce(2)
+        model = GBTClassifier(maxIter=ROUNDS, maxDepth=3, stepSize=0.3, seed=17, maxBins=32).fit(sample)
+        binned = model.transform(labelled.where(~fit)).withColumn("bin", F.floor(vector_to_array("probability")[1] * BINS))
+        seen = binned.groupBy("kind", "bin", "label").agg(F.count("*").alias("n")).toArrow()  # at most BINS + 1 a kind and label
+        kind, score, label, n = (seen.column(c).to_numpy() for c in ("kind", "bin", "label", "n"))
+        left = {k: 1 - FIT_TENTHS / 10 * min(1.0, FIT_ROWS / 2 / v) for k, v in sizes.items()}  # share of a label outside the fit
+        limits = thresholds(kind, score / BINS, label, n / np.where(label == 1, left[1.0], left[0.0]))
         if limits:
             limit = F.create_map(*[x for k, v in limits.items() for x in (F.lit(k), F.lit(v))])[F.col("kind")]
             scored = model.transform(each.where("NOT exact AND NOT touches")).withColumn("score", vector_to_array("probability")[1])

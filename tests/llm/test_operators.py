@@ -214,6 +214,25 @@ def test_pii_adds_look_alikes(table):
     assert out[5000].spans == ""
 
 
+def test_pii_thresholds_see_the_mix_of_the_corpus(table, monkeypatch):
+    monkeypatch.setattr(pii, "FIT_ROWS", 400)
+    rng = random.Random(12)
+    rows = [(i, f"{prose(rng, words=5)} write to ab{i}@mail.example.org now") for i in range(300)]
+    rows += [(1000 + i, f"{prose(rng, words=5)} and {rng.randint(10, 99)} {rng.randint(10, 99)} pieces") for i in range(6000)]
+    want = Counter(exact for _, text in rows for *_, exact, touches in pii.candidates(text) if exact or not touches)
+    seen, limits = Counter(), pii.thresholds
+
+    def spy(kind, score, label, *rest):
+        for y, w in zip(label, rest[0] if rest else np.ones(len(label)), strict=True):
+            seen[bool(y)] += w
+        return limits(kind, score, label, *rest)
+
+    monkeypatch.setattr(pii, "thresholds", spy)
+    pii.find_personal_data(table(rows)).collect()
+    assert want[False] > 15 * want[True]
+    assert all(abs(seen[y] / want[y] - 1) < 0.2 for y in want)
+
+
 def test_contained_items_match_brute_force(spark, table, corpus):
     rng = random.Random(9)
     items = [(i, prose(rng, "en", rng.randint(2, 70))) for i in range(30)]
