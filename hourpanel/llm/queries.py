@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourpanel.llm import ctw, decontam, exact, langid, licenses, mixing, near, pii, token_scan, toxicity
+from hourpanel.llm import alignment, conversations, ctw, decontam, exact, langid, licenses, mixing, near, pii, token_scan, token_table, toxicity
 from hourpanel.llm.text import read_documents
 
 
@@ -50,9 +50,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(read_documents(spark, sf_dir))
 
 
+def op11_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read_documents(spark, sf_dir))
+
+
+def op12_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_table.token_files(read_documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_dedup, op2_token_counts, op3_mix_sources, op4_personal_data, op5_decontaminate,
     op6_license_scan, op7_lm_scores, op8_language_id, op9_toxicity, op10_exact_dedup,
+    op11_align_tokenizers, op12_repair_conversations, op13_token_table,
 )}
 
 ORACLE = {"op10_exact_dedup": exact.EXACT_SQL}
