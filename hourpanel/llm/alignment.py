@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourpanel.llm.pieces import Memo, gathered, pieces_of
+from hourpanel.llm.pieces import ByteLevel, Memo, byte_letters, gathered, joined, pieces_of
 from hourpanel.llm.text import map_batches, parts
 from hourpanel.session import materialise
 
@@ -37,24 +37,15 @@ _DOC_NAMES = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
 _POSTING_NAMES = ("a", "b", "docs", "links", "dense", "bitmap", "planes")
 
 
-def byte_letters() -> dict[str, int]:
-    """The letters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the others from 256 on, in order."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in set(printable)]
-    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class Aligner:
     """Both tokenizers, loaded once in a worker. ``memo`` gives for distinct pieces (sound, n_a, n_b, n_groups, pairs, groups)."""
 
     def __init__(self, bytes_file: str, pieces_file: str):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(bytes_file)
-        self.a.encode_special_tokens = True  # their strings are ordinary text
+        self.a = ByteLevel(bytes_file, plain_specials=True)
         letters = byte_letters()
-        self.a_bytes = {i: bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t, i in self.a.get_vocab().items()}
+        self.a_bytes = {i: bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t, i in self.a.whole.get_vocab().items()}
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces_file)
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(x[3:-1], 16)]) if self.b.is_byte(i) else x.replace("▁", " ").encode() for i, x in enumerate(names)]
@@ -65,7 +56,8 @@ class Aligner:
 
     def align(self, pieces: list[str]) -> list[tuple]:
         """``pieces`` begin with a space, which the second tokenizer adds by itself."""
-        first = [x.ids for x in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
+        ids, counts = self.a(pa.array(pieces))
+        first = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
         second = [y or self.space for y in self.b.encode([x[1:] for x in pieces], num_threads=1)]
         return [self._one(p.encode(), x, y) for p, x, y in zip(pieces, first, second, strict=True)]
 
@@ -219,12 +211,12 @@ def _index(files: tuple[str, str]):
         for batch in batches:
             for rows in parts(batch, limit=SLICE_BYTES):
                 distinct, codes, bounds = pieces_of(rows.column("text"), spaced=True)
-                found = memo(distinct)
+                found = memo(distinct.to_pylist())
                 numbers = np.array([x[:4] for x in found], np.int64).reshape(-1, 4)[codes]
                 sums = np.zeros((len(codes) + 1, 4), np.int64)
                 np.cumsum(numbers, axis=0, out=sums[1:])
                 total = sums[bounds[1:]] - sums[bounds[:-1]]
-                flat, edges = gathered([x[4] for x in found], np.dtype("<i8"), codes, bounds)
+                flat, edges = gathered(*joined([x[4] for x in found], np.dtype("<i8")), codes, bounds)
                 texts = [x[5] for x in found]
                 for k, (doc_id, text) in enumerate(zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist(), strict=True)):
                     lo, hi = bounds[k], bounds[k + 1]
@@ -310,7 +302,8 @@ def align(docs: DataFrame, bytes_file: str = BYTES_FILE, pieces_file: str = PIEC
     """
     indexed = index(docs, bytes_file, pieces_file)
     counts = pair_counts(indexed)
-    found = indexed.where("place IS NULL").select("block", *_POSTING_NAMES).join(counts.select("a", "b", "count", "best"), ["a", "b"])
+    # pairs grow with the corpus up to the product of the vocabularies: merged at every size, never broadcast
+    found = indexed.where("place IS NULL").select("block", *_POSTING_NAMES).hint("merge").join(counts.select("a", "b", "count", "best"), ["a", "b"])
     rows = indexed.where("place IS NOT NULL").select("block", "place", *_DOC_NAMES)
     both = rows.unionByName(found.drop("a", "b", "links"), allowMissingColumns=True)
     order = both.repartition("block").sortWithinPartitions("block", F.col("place").asc_nulls_last())

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hourpanel.llm.pieces import Memo, gathered, pieces_of
+from hourpanel.llm.pieces import ByteLevel, IdTable, gathered, pieces_of
 from hourpanel.llm.text import map_batches, parts
 from hourpanel.session import scratch_path
 
@@ -30,24 +30,17 @@ END = 0  # written after every document
 CHUNK = 1 << 16  # tokens of a row at most
 ROW_GROUP = 16 << 20  # bytes
 PAGE = 256 << 10  # bytes
-SLICE_BYTES = 4 << 20  # text encoded at once
+SLICE_BYTES = 8 << 20  # text encoded at once
 
 _ROW = "doc_id long, part int, ordinal long, chunk int, first long, n_tokens long, ids array<int>"
 _NUMBERS = ("doc_id", "part", "ordinal", "chunk", "first", "n_tokens")
-_coders: dict[str, Memo] = {}
+_coders: dict[str, IdTable] = {}
 
 
-def coder(path: str) -> Memo:
-    """The tokenizer of a file, loaded once in a worker, as a function from pieces to identifiers (32-bit, little-endian)."""
+def coder(path: str) -> IdTable:
+    """The tokenizer of a file, loaded once in a worker, as a function from pieces to identifiers."""
     if path not in _coders:
-        from tokenizers import Tokenizer
-
-        own = Tokenizer.from_file(path)
-
-        def work(pieces: list[str]) -> list[bytes]:
-            return [np.array(x.ids, "<u4").tobytes() for x in own.encode_batch_fast(pieces, add_special_tokens=False)]
-
-        _coders[path] = Memo(work)
+        _coders[path] = IdTable(ByteLevel(path))
     return _coders[path]
 
 
@@ -58,7 +51,7 @@ def _encode(path: str, end: int, chunk: int):
         for batch in batches:
             for rows in parts(batch, limit=SLICE_BYTES):
                 distinct, codes, bounds = pieces_of(rows.column("text"), spaced=False)
-                plain, cuts = gathered(encode(distinct), np.dtype("<u4"), codes, bounds)
+                plain, cuts = gathered(*encode(distinct), codes, bounds)
                 ids = np.insert(plain, cuts[1:], end).astype(np.int32)
                 edges = cuts + np.arange(len(cuts))  # each document is one longer
                 sizes = np.diff(edges)
@@ -183,14 +176,10 @@ def checksums(table: TokenTable, chunk: int = CHUNK) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files' tokens. Pieces of long documents are checked apart and combined."""
     schema = "doc_id long, part int, ordinal long, chunk int, first long, n_tokens long, crc long"
     rows = map_batches(table.rows, _checksums(chunk), schema)
-    whole = rows.where(F.col("n_tokens") <= chunk).select("doc_id", "part", "first", "n_tokens", "crc")
-    long = rows.where(F.col("n_tokens") > chunk).groupBy("part", "ordinal").agg(
-        F.max("doc_id").alias("doc_id"), F.min("first").alias("first"), F.max("n_tokens").alias("n_tokens"), F.bit_xor("crc").alias("crc")
-    )
-    both = whole.unionByName(long.select("doc_id", "part", "first", "n_tokens", "crc"))
-    return both.join(table.manifest.select("part", "base"), "part").select(
-        "doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", F.col("crc").alias("ids_crc32")
+    docs = rows.groupBy("part", "ordinal").agg(
+        F.max("doc_id").alias("doc_id"), F.min("first").alias("first"), F.max("n_tokens").alias("n_tokens"), F.bit_xor("crc").alias("ids_crc32")
     )
+    return docs.join(table.manifest.select("part", "base"), "part").select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def token_files(docs: DataFrame, tokenizer: str = TOKENIZER, end: int = END) -> DataFrame:

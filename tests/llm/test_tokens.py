@@ -12,7 +12,7 @@ import pytest
 from conftest import prose
 from pyspark.sql import functions as F
 
-from hourpanel.llm import alignment, token_table
+from hourpanel.llm import alignment, pieces, token_table
 from hourpanel.llm.pieces import Memo, pieces_of
 
 
@@ -43,6 +43,7 @@ def coders():
 @pytest.mark.parametrize("spaced", [False, True])
 def test_pieces_make_up_the_text(texts, spaced):
     distinct, codes, bounds = pieces_of(pa.array(texts), spaced)
+    distinct = distinct.to_pylist()
     got = ["".join(distinct[c] for c in codes[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
     assert got == [" " * spaced + (t or "") for t in texts]
 
@@ -56,6 +57,23 @@ def test_memo_is_bounded_and_keeps_what_is_used():
     assert Counter(asked)["often"] == 1
 
 
+def test_id_table_drops_what_is_not_used():
+    asked = []
+
+    def work(words):
+        asked.extend(words.to_pylist())
+        found = [[len(x), *x.encode()] for x in words.to_pylist()]
+        return np.array(sum(found, []), np.uint32), np.array([len(x) for x in found])
+
+    table = pieces.IdTable(work, size=60)
+    for i in range(300):
+        words = ["", " often", f" w{i}", "é" * (i % 5)]
+        ids, start, count = table(pa.array(words))
+        assert [ids[a : a + n].tolist() for a, n in zip(start, count)] == [[len(x), *x.encode()] for x in words]
+        assert len(table.key) <= 64
+    assert Counter(asked)[" often"] == 1
+
+
 def expected_tokens(rows, coder, end=0):
     start, out = 0, []
     for doc_id, text in rows:
@@ -108,7 +126,7 @@ def test_checksums_combine():
 
 
 def expected_alignment(rows, first, second):
-    letters = alignment.byte_letters()
+    letters = pieces.byte_letters()
     names = {i: t for t, i in first.get_vocab().items()}
     docs, pairs = [], Counter()
     for doc_id, text in rows:
