@@ -2,6 +2,7 @@ import random
 from datetime import date
 
 from panel_rows import counts, plan_of, sensors
+import pytest
 from pyspark.sql import functions as F
 
 from hourpanel.operators import calendar, export, panel, profiling, spatial, staging
@@ -81,15 +82,33 @@ def test_nearest_block_equals_brute_force(spark):
     s = spark.createDataFrame(rows, "location_id int, latitude double, longitude double")
     b = spark.createDataFrame(blocks, "block_id string, clue_small_area string, latitude double, longitude double")
     expected = brute_nearest(rows, blocks)
-    for strips in (1, 5, 16):
-        for operator in (spatial.nearest_block, spatial.nearest_block_ranked):
-            found = {r.location_id: (r.distance_sq, r.block_id, r.clue_small_area) for r in operator(s, b, strips).collect()}
+    for size, operators in ((1, [spatial.nearest_block]), (32, [spatial.nearest_block, spatial.nearest_block_ranked]), (1000, [spatial.nearest_block])):
+        for operator in operators:
+            found = {r.location_id: (r.distance_sq, r.block_id, r.clue_small_area) for r in operator(s, b, size).collect()}
             assert found == expected
-    pairs = spatial.block_candidates(s, b, 16)
+    assert spatial.nearest_block(s, b.limit(0)).collect() == []
+    pairs = spatial.block_candidates(s, b, 8)
     assert pairs.count() < len(rows) * len(blocks) / 10
     assert "NestedLoop" not in plan_of(pairs) and "CartesianProduct" not in plan_of(pairs)
 
 
+@pytest.mark.parametrize("clustered", [False, True])
+def test_candidates_do_not_grow_with_the_blocks(spark, clustered):
+    def points(n, seed):
+        spread = F.pow(F.lit(10.0), -4 * F.rand(seed + 2)) if clustered else F.lit(1.0)
+        base = F.floor(F.rand(seed + 3) * 5) if clustered else F.lit(0.0)
+        return spark.range(n).select(
+            F.col("id"), (base + spread * F.randn(seed)).alias("latitude") if clustered else F.rand(seed).alias("latitude"),
+            (base * 2 + spread * F.randn(seed + 1)).alias("longitude") if clustered else F.rand(seed + 1).alias("longitude"))
+
+    sensors_ = points(300, 50).withColumnRenamed("id", "location_id")
+    per_sensor = []
+    for n in (4_000, 256_000):
+        blocks = points(n, 7).select(F.col("id").cast("string").alias("block_id"), F.lit("A").alias("clue_small_area"), "latitude", "longitude")
+        per_sensor.append(spatial.block_candidates(sensors_, blocks).count() / 300)
+    assert per_sensor[1] < 2 * per_sensor[0] and per_sensor[1] < 16 * spatial.CELL_BLOCKS
+
+
 def staged_sample(spark, weather_rows=None, sensor_rows=None):
     c = ingest.stamp(ingest.with_observed_at(counts(spark, [
         (1, "2026-08-01", 9, 10), (2, "2026-08-01", 9, 5), (3, "2026-08-01", 9, 7), (9, "2026-08-01", 9, 100),
