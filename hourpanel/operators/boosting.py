@@ -181,12 +181,10 @@ def _grown(states: RDD, samples: int, features: int, params: BoostParams, quantu
     tree = Tree.empty(samples, params.depth)
     width = params.bins + 1
     for level in range(params.depth):
-        found = (
-            states.mapPartitions(_sums(tree, level, samples, features, width, quantum, going), preservesPartitioning=True)
-            .reduceByKey(np.add, max(1, min(samples, states.getNumPartitions())))
-            .mapValues(lambda x: best_splits(x, params.min_leaf))
-            .collect()  # per sample and node a split and three means
-        )
+        sums = states.mapPartitions(_sums(tree, level, samples, features, width, quantum, going), preservesPartitioning=True)
+        if states.getNumPartitions() > 1:  # else each sample's sums are together already
+            sums = sums.reduceByKey(np.add, min(samples, states.getNumPartitions()))
+        found = sums.mapValues(lambda x: best_splits(x, params.min_leaf)).collect()  # per sample and node a split and three means
         low, more = (1 << level) - 1, False
         tree.depth = level + 1
         for sample, (feature, cut, means, rows) in found:

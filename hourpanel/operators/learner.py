@@ -86,7 +86,8 @@ def _filled(names, spec: PanelSpec):
 
 def _prepared(features: DataFrame, spec: PanelSpec) -> DataFrame:
     data = with_baseline(flags_as_numbers(features)).withColumn("row", F.monotonically_increasing_id())
-    return materialise(with_level(materialise(data, "learner-rows"), spec), "learner-features")
+    # rebalanced, so that partitions follow the session's advisory size: every tree level is a pass over them
+    return materialise(with_level(materialise(data, "learner-rows"), spec).hint("rebalance"), "learner-features")
 
 
 def _numbers(names: list[str]):

@@ -6,6 +6,8 @@ cross joins for the nearest block and the gap grids, windows over whole series.
 
 from __future__ import annotations
 
+from hourpanel.spec import FLAG_COLUMNS, NUMERIC_FEATURES, WEATHER_MEASURES
+
 TZ = "Australia/Melbourne"
 
 
@@ -44,6 +46,26 @@ def counts_cte(name: str, shift: int = 0) -> str:
         FROM events GROUP BY ALL))"""
 
 
+def limited_cte() -> str:
+    first = ", ".join(
+        f"CASE WHEN {n} IS NULL THEN (SELECT min(sensing_date) FROM features WHERE {n} IS NOT NULL) END"
+        for n in NUMERIC_FEATURES if n not in FLAG_COLUMNS
+    )
+    return f"\nlimited AS (SELECT *, least({first}) AS limit_day FROM features)"
+
+
+def mart_cte() -> str:
+    """Area-hour rows: flags hold if any location's does, the hour's and day's columns are the same for all locations."""
+    shared = [*WEATHER_MEASURES, "holiday_name", "school_term", "event_count", "event_names"]
+    columns = {
+        "precinct": "clue_small_area", "sensing_date": "sensing_date", "hourday": "hourday", "observed_at": "min(observed_at)",
+        "pedestriancount": "sum(pedestriancount)::BIGINT", "sensor_count": "count(DISTINCT location_id)",
+        **{name: f"max({name})" for name in shared}, **{name: f"bool_or({name})" for name in FLAG_COLUMNS},
+    }
+    chosen = ", ".join(f"{expression} AS {name}" for name, expression in columns.items())
+    return f"\nmart AS (SELECT {chosen} FROM block_map JOIN location_hour USING (location_id) GROUP BY ALL)"
+
+
 CTES = {
     "counts": counts_cte("counts"),
     "counts_apr": counts_cte("counts_apr", 90),
@@ -148,26 +170,22 @@ location_hour AS (
   LEFT JOIN holiday_days AS h ON c.sensing_date = h.sensing_date
   LEFT JOIN term_days AS t ON c.sensing_date = t.sensing_date
   LEFT JOIN event_days AS e ON c.sensing_date = e.sensing_date)""",
-    "mart": """
-mart AS (
-  SELECT m.clue_small_area AS precinct, lh.sensing_date, lh.hourday,
-         min(lh.observed_at) AS observed_at,
-         CAST(sum(lh.pedestriancount) AS BIGINT) AS pedestriancount,
-         count(DISTINCT lh.location_id) AS sensor_count, max(lh.temperature_2m) AS temperature_2m,
-         max(lh.precipitation) AS precipitation, max(lh.rain) AS rain,
-         max(lh.wind_speed_10m) AS wind_speed_10m, max(lh.cloud_cover) AS cloud_cover,
-         max(lh.holiday_name) AS holiday_name, bool_or(lh.is_public_holiday) AS is_public_holiday,
-         max(lh.school_term) AS school_term, bool_or(lh.is_school_term) AS is_school_term,
-         max(lh.event_count) AS event_count, max(lh.event_names) AS event_names,
-         bool_or(lh.is_event_day) AS is_event_day
-  FROM location_hour AS lh JOIN block_map AS m ON lh.location_id = m.location_id
-  GROUP BY m.clue_small_area, lh.sensing_date, lh.hourday)""",
+    "mart": mart_cte(),
     "features": """
 features AS (
   SELECT a.*, CAST(isodow(a.sensing_date) - 1 AS INTEGER) AS day_of_week,
          CAST(b.pedestriancount AS DOUBLE) AS lag_24h
   FROM mart AS a LEFT JOIN mart AS b
     ON a.precinct = b.precinct AND a.observed_at = b.observed_at + INTERVAL 24 HOURS)""",
+    # The last fold date that a row can take part in: the first day of a feature that the row does not have.
+    "limited": limited_cte(),
+    "fold_rows": """
+fold_rows AS (
+  SELECT d.test_date, f.sensing_date = d.test_date AS tested,
+         f.limit_day IS NULL OR f.limit_day >= d.test_date AS complete, f.precinct, f.lag_24h, f.pedestriancount
+  FROM limited AS f JOIN (SELECT DISTINCT sensing_date AS test_date FROM features
+                          WHERE sensing_date > (SELECT min(sensing_date) FROM features)) AS d
+    ON f.sensing_date <= d.test_date)""",
     "ordered": """
 ordered AS (
   SELECT *, CAST(pedestriancount AS DOUBLE) AS y,
@@ -298,6 +316,8 @@ NEEDS = {
     "location_hour": ["counts", "sensors", "weather", "holiday_days", "term_days", "event_days"],
     "mart": ["location_hour", "block_map"],
     "features": ["mart"],
+    "limited": ["features"],
+    "fold_rows": ["limited"],
     "ordered": ["features"],
     "diffs": ["ordered"],
     "folds": ["features", "diffs"],
@@ -466,8 +486,35 @@ SELECT count(*) AS rows, count(DISTINCT precinct) AS precincts, min(sensing_date
        max(sensing_date) AS max_date FROM features""", "features"),
     "train_summary": with_ctes("""
 SELECT count(*) AS rows, count(lag_24h) AS rows_with_baseline,
-       CAST(0 AS BIGINT) AS rows_with_lgbm, CAST(24 AS INTEGER) AS seasonality_hours
-FROM features""", "features"),
+       CASE WHEN count(*) FILTER (limit_day IS NULL) >= 10 THEN count(*) FILTER (limit_day IS NULL) ELSE 0 END
+         AS rows_with_lgbm, CAST(24 AS INTEGER) AS seasonality_hours
+FROM limited""", "limited"),
+    "gbt_train_predict": with_ctes("""
+SELECT precinct, sensing_date, hourday, lag_24h AS baseline_pred, known AS lgbm_known, known AS lgbm_finite
+FROM (SELECT *, limit_day IS NULL AND count(*) FILTER (limit_day IS NULL) OVER () >= 10 AS known FROM limited)""", "limited"),
+    "rolling_origin_learner": with_ctes("""
+SELECT r.test_date, count(*) FILTER (NOT tested) AS train_rows, count(*) FILTER (tested) AS test_rows,
+       CASE WHEN count(*) FILTER (NOT tested AND complete) >= 10 THEN count(*) FILTER (tested AND complete) ELSE 0 END
+         AS predicted_rows,
+       round((SELECT sum(e) / sum(d) FROM (
+          SELECT sum(abs(f.pedestriancount - f.lag_24h)) AS e, any_value(s.scale) * count(*) AS d
+          FROM features AS f JOIN scaled AS s ON f.precinct = s.precinct AND f.sensing_date = s.sensing_date
+          WHERE f.sensing_date = r.test_date AND f.lag_24h IS NOT NULL AND s.scale IS NOT NULL
+          GROUP BY f.precinct)), 6) AS mase_baseline,
+       count(*) FILTER (NOT tested AND complete) >= 10
+         AND count(*) FILTER (tested AND complete AND s.scale IS NOT NULL) > 0 AS learner_scored
+FROM fold_rows AS r LEFT JOIN scaled AS s ON r.tested AND s.precinct = r.precinct AND s.sensing_date = r.test_date
+GROUP BY r.test_date""", "fold_rows", "scaled"),
+    "export_with_learner": with_ctes("""
+SELECT f.precinct, f.sensing_date, f.hourday, f.pedestriancount, f.lag_24h AS baseline_pred,
+       f.pedestriancount - f.lag_24h AS baseline_error, known AS lgbm_pred_known, known AS lgbm_error_known,
+       TRUE AS mase_lgbm_known,
+       EXISTS (SELECT 1 FROM fold_rows AS r JOIN last_scale AS l ON r.precinct = l.precinct AND l.scale > 0
+               WHERE r.precinct = f.precinct AND r.tested AND r.complete
+                 AND (SELECT count(*) FROM fold_rows AS t WHERE t.test_date = r.test_date AND NOT t.tested AND t.complete) >= 10)
+         AS mase_lgbm_precinct_known
+FROM (SELECT *, limit_day IS NULL AND count(*) FILTER (limit_day IS NULL) OVER () >= 10 AS known FROM limited) AS f""",
+        "limited", "fold_rows", "last_scale"),
     "usable_features": with_ctes("\nUNION ALL ".join(
         f"SELECT '{name}' AS feature, count({name}) AS filled FROM features"
         for name in (

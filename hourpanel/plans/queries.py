@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourpanel.functions.scalars import finite
 from hourpanel.functions.wallclock import (
     day_of_week, dst_kind, expected_grid, wall_clock,
 )
@@ -458,9 +459,9 @@ def feature_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def train_summary(spark: SparkSession, sf: str) -> DataFrame:
-    """Summary before any learner run: its column is all null."""
-    frame = baseline_of(spark, sf).withColumn("lgbm_pred", F.lit(None).cast("double"))
-    return features.train_summary(frame)
+    """Summary after a learner run."""
+    predictions, _ = learner.train_and_predict(matrix_of(spark, sf))
+    return features.train_summary(predictions)
 
 
 @query
@@ -753,15 +754,53 @@ def export_wide(spark: SparkSession, sf: str) -> DataFrame:
 # --------------------------------------------------------------------- learner
 
 
+def known(column: str):
+    """Whether a learner's value is there: values of boosted trees cannot be compared with a statement."""
+    return F.col(column).isNotNull()
+
+
 @query
 def gbt_train_predict(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that the fitted model predicts, and that its predictions are numbers."""
     predictions, _ = learner.train_and_predict(matrix_of(spark, sf))
-    return rounded(predictions.select(*AREA_PANEL.grain, "baseline_pred", "lgbm_pred"))
+    value = F.col(learner.LEARNER_COLUMN)
+    return rounded(
+        predictions.select(*AREA_PANEL.grain, "baseline_pred", known("lgbm_pred").alias("lgbm_known"), finite(value).alias("lgbm_finite"))
+    )
+
+
+def _tested(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The test rows of all folds, and the matrix they come from."""
+    matrix = matrix_of(spark, sf)
+    return materialise(learner.rolling_origin_predictions(matrix), "tested"), matrix
+
+
+def _scores(tested: DataFrame, matrix: DataFrame) -> stages.Scores:
+    return stages.evaluate(tested, learner.with_baseline(learner.flags_as_numbers(matrix)))
 
 
 @query
 def rolling_origin_learner(spark: SparkSession, sf: str) -> DataFrame:
-    matrix = matrix_of(spark, sf)
-    tested = learner.rolling_origin_predictions(matrix)
-    scores = stages.evaluate(tested, learner.with_baseline(learner.flags_as_numbers(matrix)))
-    return rounded(scores.folds)
+    """Every fold of the rolling origin: what was trained, tested, predicted and scored."""
+    tested, matrix = _tested(spark, sf)
+    predicted = tested.groupBy(F.col("sensing_date").alias("test_date")).agg(F.count(learner.LEARNER_COLUMN).alias("predicted_rows"))
+    folds = _scores(tested, matrix).folds.join(predicted, "test_date")
+    scored = F.coalesce(finite(F.col("mase_lgbm")), F.lit(False))
+    return rounded(folds.select("test_date", "train_rows", "test_rows", "predicted_rows", "mase_baseline", scored.alias("learner_scored")))
+
+
+@query
+def export_with_learner(spark: SparkSession, sf: str) -> DataFrame:
+    """The wide export on a learner run: fitted values, pooled and per-series scores of the rolling origin."""
+    tested, matrix = _tested(spark, sf)
+    scores = _scores(tested, matrix)
+    predictions, _ = learner.train_and_predict(matrix)
+    wide = export.export_wide(
+        mart_of(spark, sf), predictions, materialise(scores.pooled, "pooled"), materialise(scores.by_series, "by-series")
+    )
+    flags = ("lgbm_pred", "lgbm_error", "mase_lgbm", "mase_lgbm_precinct")
+    return rounded(
+        wide.select(
+            *AREA_PANEL.grain, "pedestriancount", "baseline_pred", "baseline_error", *(known(n).alias(f"{n}_known") for n in flags)
+        )
+    )

@@ -23,7 +23,7 @@ from hourpanel.spec import AREA_PANEL, SEASON_HOURS
 
 
 CENSUS_WINDOW = Window(date(2024, 1, 1), date(2024, 12, 31))
-TOO_FEW_DATES = "Need at least two distinct sensing_date values for rolling-origin evaluation."
+TOO_FEW_DATES = "A rolling origin starts from the second date of a panel; this one has fewer."
 
 
 def ingest_all(
