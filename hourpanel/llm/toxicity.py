@@ -4,9 +4,12 @@ Two models, of toxic and of ordinary labelled texts, with absolute discounting.
 the same lower-order distribution, the continuation counts of the two classes together, so a word
 that is rare in either class gets nearly the same probability from both and decides nothing.
 
-A text is described by the log-likelihood ratio per word over the whole text and by the mean of its ``PEAKS``
-largest word ratios, as a few words make a long text toxic. A logistic curve, fitted on labelled rows
-that the counts have not seen, turns both into a probability.
+Below the word, a second pair of models runs over the bytes inside words: the next byte after ``GRAM`` - 1 others, again backing
+off to continuation counts that both classes share. It knows a stem in compounds and with endings that were never seen as whole words.
+
+A text is described, for words and for bytes, by the log-likelihood ratio per step over the whole text and by its
+``PEAKS`` largest word ratios, as one word can make a long text toxic. A logistic curve, fitted on labelled rows
+that the counts have not seen, turns them into a probability.
 
 Models are fitted on a bounded sample of the labelled rows (``FIT_DOCS`` and ``CURVE_DOCS`` a class). Equal texts
 count once, and an expression counts once a text, so a repetition proves nothing; one in fewer than
@@ -31,8 +34,10 @@ FIT_DOCS = 3000
 CURVE_DOCS = 1500
 DISCOUNT = 0.75
 PEAKS = 3
-LEAST_DOCS = 3
+LEAST_DOCS = 10
 HELD_OUT = 5
+GRAM = 6  # bytes of an expression inside a word
+FEATURES = tuple(f"{kind}{name}" for kind in ("", "inner_") for name in ("ratio", *(f"peak_{k + 1}" for k in range(PEAKS))))
 
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -113,11 +118,11 @@ class Ratio:
         self.first = first
         del self.word, self.back, self.total
 
-    def features(self, raw: bytes) -> tuple[float, float]:
-        """Mean ratio of the words, and the mean of the largest ones."""
+    def features(self, raw: bytes) -> list[float]:
+        """Mean ratio of the words, and the largest ones."""
         own = words_of(raw)
         if not own:
-            return 0.0, 0.0
+            return _described(np.zeros(0), np.zeros(0))
         get = self.ids.get
         ids = np.array([self.first, *(get(w, 0) for w in own)], np.int64)
         value = self.shift[ids[:-1]] + self.single[ids[1:]]
@@ -125,8 +130,81 @@ class Ratio:
             code = ids[:-1] * self.width + ids[1:]
             at = np.minimum(np.searchsorted(self.code, code), len(self.code) - 1)
             value = np.where(self.code[at] == code, self.pair[at], value)
-        top = np.partition(value, -PEAKS)[-PEAKS:] if len(value) > PEAKS else value
-        return float(value.mean()), float(top.mean())
+        return _described(value, value)
+
+
+def _described(steps: np.ndarray, words: np.ndarray) -> list[float]:
+    """The mean of ``steps`` and the PEAKS largest of ``words``, 0 for those that are not there."""
+    top = np.sort(np.partition(words, -PEAKS)[-PEAKS:] if len(words) > PEAKS else words)[::-1].tolist()
+    return [float(steps.mean()) if len(steps) else 0.0, *top, *[0.0] * (PEAKS - len(top))]
+
+
+def inner_grams(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(code, number of its word) of all runs of GRAM bytes inside the words, a space standing for each end of a word."""
+    own = words_of(raw)
+    text = np.frombuffer(b" " + b" ".join(own) + b" ", np.uint8).astype(np.int64)
+    n = len(text) - GRAM + 1
+    if not own or n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    code = np.zeros(n, np.int64)
+    for k in range(GRAM):
+        code = code << 8 | text[k : k + n]
+    spaces = np.concatenate([[0], np.cumsum(text == 32)])
+    at = np.flatnonzero(spaces[GRAM - 1 : GRAM - 1 + n] == spaces[1 : 1 + n])  # no space but at either end
+    return code[at], spaces[1:][at] - 1
+
+
+def _count_inner(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        label = batch.column("toxic").to_numpy()
+        found = [np.unique(inner_grams(x)[0]) for x in encoded(batch.column("text"))]
+        for kind in (0, 1):
+            own = [x for x, t in zip(found, label, strict=True) if t == kind]
+            gram, count = np.unique(np.concatenate(own) if own else np.zeros(0, np.int64), return_counts=True)
+            none = np.zeros(len(gram), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(count if kind else none), pa.array(none if kind else count)], ["gram", "toxic", "plain"])
+
+
+class Inner:
+    """log p_toxic - log p_plain of a byte after GRAM - 1 others, from the texts of each class that have the run."""
+
+    def __init__(self, gram: np.ndarray, plain: np.ndarray, toxic: np.ndarray):
+        order = np.argsort(gram)
+        self.gram, n = gram[order], np.stack([plain, toxic])[:, order].astype(float)
+        context = self.gram >> 8
+        self.context, at = np.unique(context, return_inverse=True)
+        total = np.stack([np.bincount(at, x, len(self.context)) for x in n])
+        types = np.stack([np.bincount(at, x > 0, len(self.context)) for x in n])
+        # the shared lower order: how many bytes come before a run without its first byte, in either class
+        shorter, where = np.unique(self.gram & ((1 << 8 * (GRAM - 1)) - 1), return_inverse=True)
+        follows = np.bincount(where, minlength=len(shorter)).astype(float)
+        stem, of = np.unique(shorter >> 8, return_inverse=True)
+        below = follows[where] / np.bincount(of, follows, len(stem))[of[where]]
+        back = DISCOUNT * (types + 1) / (total + 1)
+        p = np.maximum(n - DISCOUNT, 0) / (total[:, at] + 1) + back[:, at] * below
+        self.value = np.log(p[1]) - np.log(p[0]) if len(self.gram) else np.zeros(0)
+        self.shift = np.log(back[1]) - np.log(back[0])
+
+    def ratios(self, code: np.ndarray) -> np.ndarray:
+        if not len(self.gram):
+            return np.zeros(len(code))
+        at = np.minimum(np.searchsorted(self.gram, code), len(self.gram) - 1)
+        before = np.minimum(np.searchsorted(self.context, code >> 8), len(self.context) - 1)
+        unseen = np.where(self.context[before] == code >> 8, self.shift[before], 0.0)  # a byte that neither class has there
+        return np.where(self.gram[at] == code, self.value[at], unseen)
+
+    def features(self, raw: bytes) -> list[float]:
+        """Mean ratio of the bytes, and the largest sums over a word."""
+        code, word = inner_grams(raw)
+        value = self.ratios(code)
+        return _described(value, np.bincount(word, value) if len(code) else value)
+
+
+def fit_inner(sample: DataFrame) -> Inner:
+    """Runs of at least LEAST_DOCS of the sample's texts come to the driver."""
+    counts = map_batches(sample.select("toxic", "text"), _count_inner, "gram long, toxic long, plain long").groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
+    table = counts.where(F.col("plain") + F.col("toxic") >= LEAST_DOCS).toArrow()
+    return Inner(*(table.column(c).to_numpy() for c in ("gram", "plain", "toxic")))
 
 
 def fit_ratio(sample: DataFrame) -> Ratio:
@@ -168,26 +246,25 @@ def fit_curve(points: np.ndarray, toxic: np.ndarray, weight: np.ndarray, rounds:
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = HELD_OUT) -> DataFrame:
-    """Per row: doc_id, held_out, score, predicted, ratio (per word), peak (of the largest).
+    """Per row: doc_id, held_out, score, predicted, ratio (per word) and the largest word ratios, and the same for the bytes inside words.
 
-    Null, empty and wordless texts have ratio and peak 0 and get the curve's value there. Several labels of one
+    Null, empty and wordless texts have zeros and get the curve's value there. Several labels of one
     document: toxic if any is. Null labels are not learned from. Without labelled rows of both classes
     every score is the share of toxic ones (0 without any). Repeated rows are scored alike; other columns are ignored.
     """
     sample = materialise(labelled_sample(docs, labels, modulus), "toxic_texts")
-    ratio = fit_ratio(sample.where("NOT curve"))
-    shared = docs.sparkSession.sparkContext.broadcast(ratio)
+    fitted = sample.where("NOT curve")
+    shared = docs.sparkSession.sparkContext.broadcast((fit_ratio(fitted), fit_inner(fitted)))
 
     def described(keep: list[str], schema: str):
         def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            model = shared.value
+            words, inner = shared.value
             for batch in batches:
-                found = [model.features(x) for x in encoded(batch.column("text"))]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(c) for c in keep] + [pa.array([x[k] for x in found], pa.float64()) for k in (0, 1)], [*keep, "ratio", "peak"]
-                )
+                found = [(*words.features(x), *inner.features(x)) for x in encoded(batch.column("text"))]
+                columns = [pa.array([x[k] for x in found], pa.float64()) for k in range(len(FEATURES))]
+                yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + columns, [*keep, *FEATURES])
 
-        return lambda df: map_batches(df, work, f"{schema}, ratio double, peak double")
+        return lambda df: map_batches(df, work, ", ".join([schema, *(f"{n} double" for n in FEATURES)]))
 
     points = described(["toxic", "weight"], "toxic int, weight double")(sample.where("curve").select("toxic", "weight", "text")).toArrow()
     toxic, weight = points.column("toxic").to_numpy(), points.column("weight").to_numpy()
@@ -196,7 +273,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = HELD_OUT)
     if len(np.unique(toxic)) < 2:
         score = F.lit(float(np.average(toxic, weights=weight)) if len(toxic) else 0.0)
     else:
-        beta = fit_curve(np.stack([points.column("ratio").to_numpy(), points.column("peak").to_numpy()], axis=1), toxic, weight)
-        linear = F.lit(float(beta[0])) + F.lit(float(beta[1])) * F.col("ratio") + F.lit(float(beta[2])) * F.col("peak")
+        beta = fit_curve(np.stack([points.column(n).to_numpy() for n in FEATURES], axis=1), toxic, weight)
+        linear = F.lit(float(beta[0]))
+        for slope, name in zip(beta[1:], FEATURES, strict=True):
+            linear = linear + F.lit(float(slope)) * F.col(name)
         score = 1 / (1 + F.exp(-linear))
-    return out.select("doc_id", "held_out", score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), "ratio", "peak")
+    return out.select("doc_id", "held_out", score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), *FEATURES)

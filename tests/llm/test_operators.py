@@ -373,6 +373,41 @@ def test_toxic_texts_score_higher(spark, table):
     assert sum(r.predicted == int(r.doc_id % 5 == 0) for r in held) / len(held) > 0.97
 
 
+def test_toxic_stems_are_found_in_new_compounds(table, spark):
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(900):
+        words = prose(rng, "de", 80).split()
+        if i % 4 == 0:
+            for _ in range(4):
+                words.insert(rng.randrange(len(words)), "".join(rng.choice(["keit", "ung", "ver", "sch", "ein", ""]) for _ in range(2)) + "quaxol" + "".join(rng.choice(["heit", "en", "er", "zu", "lich"]) for _ in range(2)) + str(rng.choice("abcdefgh")))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    held = [r for r in toxicity.score_toxicity(table(rows), spark.createDataFrame(labels, "doc_id long, toxic int")).collect() if r.held_out]
+    assert sum(r.predicted == int(r.doc_id % 4 == 0) for r in held) / len(held) > 0.97
+
+
+def test_inner_model_is_kneser_ney(table, spark):
+    rng = random.Random(13)
+    texts = [(int(i % 3 == 0), prose(rng, "en", 30) + (" wretched" if i % 3 == 0 else "")) for i in range(60)]
+    model = toxicity.fit_inner(spark.createDataFrame(texts, "toxic int, text string"))
+    size, seen = toxicity.GRAM, {0: Counter(), 1: Counter()}
+    for label, text in texts:
+        seen[label].update({w[k : k + size] for w in (f" {x} " for x in re.findall(r"[a-z]+", text.lower())) for k in range(len(w) - size + 1)})
+    kept = {g for g in seen[0] | seen[1] if seen[0][g] + seen[1][g] >= toxicity.LEAST_DOCS}
+    follows = Counter(g[1:] for g in kept)
+    for g in kept:
+        below = follows[g[1:]] / sum(n for s, n in follows.items() if s[:-1] == g[1:-1])
+        p = []
+        for c in (0, 1):
+            same = [x for x in kept if x[:-1] == g[:-1]]
+            total, types = sum(seen[c][x] for x in same), sum(seen[c][x] > 0 for x in same)
+            p.append(max(seen[c][g] - toxicity.DISCOUNT, 0) / (total + 1) + toxicity.DISCOUNT * (types + 1) / (total + 1) * below)
+        code = np.array([int.from_bytes(g.encode(), "big")])
+        assert math.isclose(model.ratios(code)[0], math.log(p[1] / p[0]), rel_tol=1e-9)
+    assert len(kept) == len(model.gram) > 50
+
+
 @pytest.mark.parametrize("capacity,depth", [(4096, 32), (2, 32), (1, 3)])
 def test_exact_duplicates_and_directory(table, corpus, capacity, depth):
     docs = table(corpus)
