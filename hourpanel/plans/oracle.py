@@ -400,6 +400,22 @@ FROM orders WHERE o_orderpriority <> '5-LOW'""",
     "flatten_columnar_json": with_ctes(f"""
 SELECT strftime(wall, '%Y-%m-%dT%H:%M') AS time, {weather_columns()} FROM weather_wall""",
         "weather_wall"),
+    "json_counts": with_ctes("""
+SELECT id, location_id, sensing_date, hourday, direction_1, direction_2, pedestriancount, sensor_name,
+       round(lon, 6) AS lon, round(lat, 6) AS lat FROM counts""", "counts"),
+    "json_sensors": with_ctes("""
+SELECT location_id, sensor_description, sensor_name, '2020-' || lpad(CAST(label * 2 AS VARCHAR), 2, '0') || '-01'
+         AS installation_date, note, location_type, status, direction_1_label AS direction_1,
+       direction_2_label AS direction_2, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude
+FROM sensors JOIN embeddings ON vec_id = location_id""", "sensors"),
+    "json_addresses": """
+SELECT '2024' AS census_year,
+       CAST(CAST(floor(lat * 20) AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(floor(lon * 20) AS BIGINT) AS VARCHAR) AS block_id,
+       CAST(CAST(floor(lat * 5) AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(floor(lon * 5) AS BIGINT) AS VARCHAR)
+         AS clue_small_area, round(lat, 6) AS latitude, round(lon, 6) AS longitude
+FROM (SELECT CAST(embedding[1] AS DOUBLE) AS lat, CAST(embedding[2] AS DOUBLE) AS lon FROM embeddings)""",
+    "json_documents": """
+SELECT doc_id, lang, n_chars, md5('{"\\' || text || '}"') AS text_md5 FROM documents""",
     "day_range_replace": with_ctes("""
 SELECT sensing_date, count(*) AS n_rows,
        CAST(sum(CASE WHEN sensing_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-14'

@@ -22,7 +22,7 @@ from hourpanel.plans import given, stages
 from hourpanel.session import materialise, scratch_path
 from hourpanel.sources import ingest, readers, schemas, sinks
 from hourpanel.sources.schemas import Source
-from hourpanel.spec import AREA_PANEL, NUMERIC_FEATURES
+from hourpanel.spec import AREA_PANEL, AUDIT_COLUMN, NUMERIC_FEATURES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -193,6 +193,38 @@ def flatten_columnar_json(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(readers.flatten_columnar(payloads, row))
 
 
+def _json_round_trip(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Written as JSON arrays, and read back with the columns that were written."""
+    path = scratch_path(spark, name)
+    sinks.write_json_arrays(df, path)
+    return readers.read_json_export(spark, path, df.schema)
+
+
+@query
+def json_counts(spark: SparkSession, sf: str) -> DataFrame:
+    counts = given.hourly_counts(spark, sf)
+    back = _json_round_trip(spark, counts, "json-counts")
+    return rounded(back.withColumns({"lon": F.col("location.lon"), "lat": F.col("location.lat")}).drop("location"))
+
+
+@query
+def json_sensors(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_json_round_trip(spark, given.sensors(spark, sf).drop(AUDIT_COLUMN), "json-sensors"))
+
+
+@query
+def json_addresses(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_json_round_trip(spark, given.addresses(spark, sf).drop(AUDIT_COLUMN), "json-addresses"))
+
+
+@query
+def json_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Long texts with quotes, braces and line ends as JSON, read back."""
+    documents = given.table(spark, sf, "documents")
+    back = _json_round_trip(spark, documents.withColumn("text", F.concat(F.lit('{"\\'), "text", F.lit('}"'))), "json-documents")
+    return back.select("doc_id", "lang", "n_chars", F.md5("text").alias("text_md5"))
+
+
 # ----------------------------------------------------------------------- sinks
 
 

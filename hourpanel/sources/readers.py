@@ -7,12 +7,13 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourpanel.functions.scalars import tolerant_date
 from hourpanel.functions.wallclock import local_date
+from hourpanel.session import materialise
 from hourpanel.sources.schemas import TYPES
 from hourpanel.sources.tree import Tree
 
@@ -106,9 +107,69 @@ def read_calendar_csv(spark: SparkSession, path: str, schema: T.StructType) -> D
     )
 
 
+CLOSE = "}"  # JSON objects are cut behind this sign, wherever it stands
+
+
+def _order():
+    return Window.partitionBy("path", "split").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _before(pieces: DataFrame, value: Column, out: str) -> DataFrame:
+    """Add ``out``, the sum of ``value`` over all earlier splits of the same file: one number a split, not a row, meets in a window."""
+    sums = pieces.groupBy(F.col("path").alias("p"), F.col("split").alias("s")).agg(F.sum(value).alias("own"))
+    earlier = Window.partitionBy("p").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    known = sums.select("p", "s", F.coalesce(F.sum("own").over(earlier), F.lit(0)).alias(out))
+    return pieces.join(known, (F.col("path") == F.col("p")) & (F.col("split") == F.col("s"))).drop("p", "s")
+
+
+def json_records(spark: SparkSession, path: str) -> DataFrame:
+    """(path, record, text) of the outermost objects in JSON files, however large a file is.
+
+    A file is an array of objects, or objects one after another. It is read in byte ranges by many tasks, cut behind every
+    closing brace. Whether a cut is inside a string, and how deep it is, follows from what stands before it: each piece
+    tells its number of quotes and of opening braces for either case, and prefix sums, within a split and over the splits of a
+    file, stitch the pieces together. Only the pieces of one object meet. An object that never closes fails the job.
+    """
+    lines = spark.read.option("lineSep", CLOSE).text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("piece"),
+    )
+    bare = F.regexp_replace("piece", r"(?s)\\.", "")  # without escaped signs
+
+    def opened(text: Column) -> Column:
+        outside = F.regexp_replace(text, r'(?s)"[^"]*("|\z)', "")
+        return F.length(outside) - F.length(F.replace(outside, F.lit("{"), F.lit("")))
+
+    pieces = materialise(
+        lines.select(
+            "path", "split", "at", "piece", (F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))).alias("quotes"),
+            opened(bare).alias("plain"), opened(F.regexp_replace(bare, r'(?s)\A[^"]*("|\z)', "")).alias("quoted"),
+        ),
+        "json-pieces",
+    )
+    placed = _before(pieces, F.col("quotes"), "earlier").withColumn("after", F.col("earlier") + F.sum("quotes").over(_order()))
+    inside = (F.col("after") - F.col("quotes")) % 2 == 1
+    closes = F.col("after") % 2 == 0
+    placed = placed.select("path", "split", "at", "piece", (F.when(inside, F.col("quoted")).otherwise(F.col("plain")) - closes.cast("int")).alias("step"), closes.alias("closes"))
+    placed = materialise(placed, "json-steps")
+    deep = _before(placed, F.col("step"), "earlier").withColumn("depth", F.col("earlier") + F.sum("step").over(_order()))
+    ends = materialise(deep.select("path", "split", "at", "piece", (F.col("closes") & (F.col("depth") == 0)).alias("end")), "json-ends")
+    numbered = _before(ends, F.col("end").cast("int"), "earlier").withColumn(
+        "record", F.col("earlier") + F.sum(F.col("end").cast("int")).over(_order()) - F.col("end").cast("int")
+    )
+    whole = numbered.groupBy("path", "record").agg(
+        F.sort_array(F.collect_list(F.struct("split", "at", "piece"))).alias("parts"), F.max("end").alias("closed")
+    )
+    text = F.concat(F.array_join("parts.piece", CLOSE), F.lit(CLOSE))
+    rest = F.regexp_replace(F.array_join("parts.piece", CLOSE), r"[\s,\[\]\x{feff}]+", "")
+    checked = F.when(F.col("closed"), text).when(rest != "", F.raise_error(F.concat(F.lit("unfinished object in "), F.col("path"))))
+    return whole.select("path", "record", F.regexp_replace(checked, r"\A[\s,\[\]\x{feff}]+", "").alias("text")).filter("text IS NOT NULL")
+
+
 def read_json_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """JSON array files of objects to rows; one file is one task, so exports land in many files."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    """Rows of JSON files that hold an array of objects; a large file is read by many tasks."""
+    parsed = F.from_json("text", schema)
+    return json_records(spark, path).select(parsed.alias("row")).select("row.*")
 
 
 def columnar_schema(row: T.StructType) -> T.StructType:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date, timedelta
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -118,6 +119,22 @@ def write_json(df: DataFrame, path: str) -> None:
     nan_to_null(df).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str) -> None:
+    """JSON files that hold one array of objects each, one file a task."""
+    records = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+
+    def lines(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        sign = "["
+        for batch in batches:
+            found = batch.column("value").to_pylist()
+            if found:
+                yield pa.RecordBatch.from_pydict({"value": [f"{sign}{found[0]}", *(f",{x}" for x in found[1:])]})
+                sign = ","
+        yield pa.RecordBatch.from_pydict({"value": ["[]" if sign == "[" else "]"]})
+
+    records.mapInArrow(lines, "value string").write.mode("overwrite").text(path)
+
+
 def write_export(df: DataFrame, parquet_path: str, csv_path: str, single_csv: bool = False) -> None:
     """Parquet and CSV with header. One CSV file only on request, as it means one writer task."""
     df.write.mode("overwrite").parquet(parquet_path)

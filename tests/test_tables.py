@@ -1,12 +1,14 @@
 """Readers and sinks."""
 
 import json
+import random
 import re
 from datetime import date
 
 import pytest
 from panel_rows import plan_of
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourpanel.session import checkpoint_root, materialise
 from hourpanel.sources import readers, schemas, sinks
@@ -144,3 +146,25 @@ def test_materialised_table_lies_below_the_checkpoint_folder(spark):
     df = materialise(spark.range(5), "probe")
     root = checkpoint_root(spark).split(":", 1)[-1].lstrip("/")
     assert all(root in f for f in df.inputFiles()) and df.count() == 5
+
+
+def test_one_large_json_array_is_read_by_many_tasks(spark, tmp_path):
+    rng = random.Random(3)
+    signs = ['"', "\\", "{", "}", "[", "]", ",", ":", "\n", "a", "é", " ", "}{", '\\"', "\\\\"]
+    rows = [{"id": i, "s": "".join(rng.choice(signs) for _ in range(rng.randint(0, 30))), "o": {"x": i % 7, "t": rng.choice(["}", "{", '"}', None])}, "e": {}} for i in range(2000)]
+    (tmp_path / "one").mkdir()
+    for name, data, indent in (("a", rows, None), ("b", rows[:50], 2), ("empty", [], None)):
+        (tmp_path / "one" / f"{name}.json").write_text(json.dumps([{**r, "f": name} for r in data], ensure_ascii=name == "a", indent=indent), encoding="utf-8")
+    (tmp_path / "one" / "lines.json").write_text("\n".join(json.dumps({**r, "f": "lines"}) for r in rows[:5]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert spark.read.option("lineSep", "}").text(str(tmp_path / "one" / "a.json")).rdd.getNumPartitions() > 20
+        got = readers.read_json_export(spark, str(tmp_path / "one"), T.StructType.fromDDL("id bigint, s string, o struct<x:bigint,t:string>, f string")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = [(r["id"], r["s"], r["o"]["x"], r["o"]["t"], f) for f, n in (("a", 2000), ("b", 50), ("lines", 5)) for r in rows[:n]]
+    assert sorted((r.id, r.s, r.o.x, str(r.o.t), r.f) for r in got) == sorted((*w[:3], str(w[3]), w[4]) for w in want)
+    (tmp_path / "cut.json").write_text('[{"id": 1}, {"id": 2, "s": "x')
+    with pytest.raises(Exception, match="unfinished object"):
+        readers.read_json_export(spark, str(tmp_path / "cut.json"), schemas.columns("id bigint")).collect()
