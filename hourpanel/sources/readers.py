@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,30 +56,55 @@ def union_by_name(frames: Sequence[DataFrame], schema: T.StructType) -> DataFram
     return reduce(DataFrame.unionByName, (conform(df, schema) for df in frames))
 
 
+def data_files(spark: SparkSession, root: str) -> list[str]:
+    """Full paths of the Parquet files anywhere below ``root``, listed by Spark; no file is opened."""
+    if not Tree(spark, root).has_parquet():
+        return []
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root)
+    return sorted(r.path for r in found.select("path").collect())
+
+
+def footer_catalogue(spark: SparkSession, files: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Groups of files with a schema that holds for each of them: no column has two types in a group, some may be missing in a file.
+
+    One job reads the footers of all files in its tasks and merges them. Where two types meet it is repeated on both
+    halves, so the number of jobs follows the changes of type along the sorted files, not their number. Groups that agree are joined again.
+    """
+    reader = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True)
+
+    def merged(part: list[str]) -> list[tuple[T.StructType, list[str]]]:
+        try:
+            return [(reader.parquet(*part).schema, part)]
+        except (PySparkException, Py4JJavaError) as error:
+            if len(part) == 1 or "MERGE" not in str(error):
+                raise
+        half = len(part) // 2
+        return merged(part[:half]) + merged(part[half:])
+
+    groups: list[tuple[dict[str, T.StructField], list[str]]] = []
+    for schema, part in merged(files) if files else []:
+        own = {f.name: f for f in schema}
+        for fields, members in groups:
+            if all(fields[n].dataType == own[n].dataType for n in fields.keys() & own.keys()):
+                fields |= own
+                members += part
+                break
+        else:
+            groups.append((own, list(part)))
+    return [(T.StructType(list(fields.values())), members) for fields, members in groups]
+
+
 def read_foreign_tree(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Scan a tree written by others, whose files drift in column set or numeric type.
+    """Scan a tree written by others, whose files drift in column set or numeric type, wherever below ``root`` they lie.
 
-    Each child folder holds the files of one write. Folders are grouped by the schema in their
-    footers, every group is one scan, and the groups are cast and united by name: the number of
-    scans is the number of distinct schemas, not of folders.
+    Files are grouped by their footers, every group is one scan, and the groups are cast and united by name: the number of
+    scans is the number of conflicting types, not of folders or files.
     """
-    tree = Tree(spark, root)
-    if not tree.has_parquet():
+    groups = footer_catalogue(spark, data_files(spark, root))
+    if not groups:
         return empty(spark, schema)
     reader = spark.read.option("recursiveFileLookup", True)
-    folders = tree.folders() or [tree.root]
-    with ThreadPoolExecutor(16) as pool:
-        schemas = list(pool.map(lambda folder: reader.parquet(folder).schema, folders))
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for folder, found in zip(folders, schemas, strict=True):
-        groups.setdefault(found.json(), (found, []))[1].append(folder)
-    return union_by_name(
-        [
-            spark.read.option("recursiveFileLookup", True).schema(found).parquet(*folders)
-            for found, folders in groups.values()
-        ],
-        schema,
-    )
+    return union_by_name([reader.schema(found).parquet(*files) for found, files in groups], schema)
 
 
 def read_required(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

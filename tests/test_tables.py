@@ -78,6 +78,20 @@ def test_drifting_folders_unite_by_name(spark, tmp_path):
     assert {(r.id, r.n) for r in df.collect()} == {(1, 10.0), (2, 2.5), (3, None)}
 
 
+def test_drift_in_one_folder_and_files_at_the_root_lose_nothing(spark, tmp_path):
+    root, want = str(tmp_path / "t"), set()
+    kinds = ["id bigint, n bigint", "id bigint, n double", "id bigint", "id bigint, n double, extra string", "id bigint, n bigint, extra string"]
+    for i in range(15):
+        schema = kinds[i % 5]
+        row = (i, *({"n bigint": (i,), "n double": (i + 0.5,)}.get(schema.split(", ")[1], ()) if "n " in schema else ()), *(("x",) if "extra" in schema else ()))
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(root if i % 3 == 0 else f"{root}/d{i % 2}")
+        want.add((i, float(row[1]) if "n " in schema else None))
+    files = readers.data_files(spark, root)
+    groups = readers.footer_catalogue(spark, files)
+    assert len(files) == 15 and len(groups) == 2 and sorted(f for _, members in groups for f in members) == files
+    assert {(r.id, r.n) for r in readers.read_foreign_tree(spark, root, schemas.columns("id bigint, n double")).collect()} == want
+
+
 def test_key_inside_the_files_keeps_its_type(spark, tmp_path):
     root = str(tmp_path / "t")
     spark.createDataFrame([("2026-01-01", 1)], "date string, v int").write.parquet(f"{root}/date=2026-01-01")
