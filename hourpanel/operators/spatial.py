@@ -93,11 +93,14 @@ def leaf_probes(sensors: DataFrame, nodes: list[DataFrame]) -> DataFrame:
     A sensor is one row with the cells that are still open to it, a number that the geometry bounds.
     """
     where = ["location_id", "latitude", "longitude"]
-    # all sensors begin at the root, or above it if the root itself is the only node
-    first = F.lit(nodes[0].select(F.max("parent")).first()[0]).cast("long")
-    opened, kept = sensors.select(*where, F.lit(float("inf")).alias("reach"), first.alias("parent")), None
+    first = [r for r in nodes[0].collect() if r.points]  # 16 cells at most
+    if not first:
+        return sensors.select(*where, F.lit(ROOT).cast("long").alias("cell")).filter("false")
+    boxes = ("cell", "south", "north", "west", "east", "leaf")
+    top = F.array(*(F.struct(*(F.lit(r[n]).alias(n) for n in boxes)) for r in first))
+    opened, kept = sensors.select(*where, F.lit(float("inf")).alias("reach"), F.explode(top).alias("b")).select(*where, "reach", "b.*"), None
     for depth, level in enumerate(nodes):
-        met = opened.join(level, "parent").select(
+        met = (opened.join(level, "parent") if depth else opened).select(
             *where, F.least("reach", _far()).alias("reach"), F.struct("cell", _near().alias("near"), "leaf").cast(_CELL).alias("c")
         )
         both = met if kept is None else met.unionByName(kept)
