@@ -32,8 +32,9 @@ _NO_LETTER = re.compile(r"[\W\d_]+")
 
 
 def letters_of(text: str | None) -> str:
-    """Lower-cased letters with single spaces between the runs."""
-    return _NO_LETTER.sub(" ", text.lower()).strip() if text else ""
+    """Lower-cased letters with single spaces between the runs; empty if there is none but numerals such as ½, ² or Ⅷ."""
+    body = _NO_LETTER.sub(" ", text.lower()).strip() if text else ""
+    return body if any(map(str.isalpha, body)) else ""
 
 
 def training_sample(docs: DataFrame, modulus: int = HELD_OUT) -> DataFrame:

@@ -55,6 +55,10 @@ def test_odd_values(table, odd_rows, labels):
     assert (rows[1].n_words, rows[6].n_words, rows[7].n_words) == (0, 2, 100)
 
 
+def test_numerals_are_no_letters():
+    assert [langid.letters_of(x) for x in ("½ ²", "Ⅷ", "5 ½ a", "Été!", None)] == ["", "", "½ a", "été", ""]
+
+
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
 def test_stages_take_odd_and_empty_tables(spark, table, odd_rows, tmp_path, items, name, stage):
     items.write.parquet(str(tmp_path / "benchmark.parquet"))
