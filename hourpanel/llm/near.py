@@ -7,7 +7,8 @@ common prefix are candidates. A region (the sets that share the first values of
 into components first; then each set meets the ``REACH`` next ones of other components. A full region that
 still holds several components is too shallow for its sets: they go down to the next of ``DEPTHS``, where a region
 shares more values, and where there are so many more trees that a pair at the threshold is still met (``trees_for``).
-Regions of the last depth meet along their order, where true pairs have the longest common prefixes.
+Full regions of the last depth meet along their order first; those that still hold several components are compared
+whole, by pairs of blocks of about ``BLOCK`` sets, so no pair of a region is left out (``blockwise``).
 
 A candidate is confirmed on the full sets. The only loss is the chance that a true pair shares no
 region of its depth, or that its estimate falls below the floor: under 4e-6 for a pair at exactly 0.85 in
@@ -36,7 +37,8 @@ STEP = FUNCTIONS // TREES  # a tree starts this many values after the one before
 DEPTH = 3  # values that members of a region share
 DEPTHS = (8, 14)  # the same for sets whose regions are full
 MISS = 1e-3  # chance that a pair at the threshold shares no region of a deeper level
-REACH = 32  # largest region that is compared whole
+REACH = 32  # largest region that a task compares whole
+BLOCK = 512  # sets that one row holds where fuller regions are compared whole
 PERCENT = 85  # a link: 100 * intersection >= PERCENT * union
 SLACK = 0.14  # the estimate may fall this far below the threshold (4.4 standard errors)
 DEEP_FUNCTIONS = 256  # MinHash values of the sets that go deeper, made from their full sets
@@ -280,14 +282,86 @@ def _crowded(depth: int, trees: int, mixed_regions):
     return work
 
 
-def deeper(unsettled: DataFrame, depth: int, percent: int, full_reach: int = REACH) -> tuple[DataFrame, DataFrame]:
-    """(candidate pairs (u, v) of different components, nodes whose regions stay full) at a depth, for written rows (node, root, n_shingles, sig).
+def _floor(percent: int) -> float:
+    """Least estimate of a candidate among the sets that go deeper."""
+    return percent / 100 - DEEP_ERRORS * math.sqrt(percent * (100 - percent) / DEEP_FUNCTIONS) / 100
+
+
+def _members(depth: int, trees: int, full):
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _pieces(batches):
+            sig = _signatures_of(part)
+            region = _regions_of(sig, depth, trees).ravel()
+            at = np.flatnonzero(in_table(full.value, region))
+            owner = pa.array(at // trees)
+            low = pa.array([x.tobytes() for x in sig.astype(np.uint8)], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(region[at]), part.column("node").take(owner), part.column("n_shingles").take(owner), low.take(owner)], ["region", "node", "n_shingles", "low"]
+            )
+
+    return work
+
+
+def _compare_blocks(percent: int):
+    """Pairs of two blocks, or within one, of different components whose sizes and estimate allow a link."""
+    floor = _floor(percent)
+
+    def side(batch: pa.RecordBatch, name: str, k: int) -> list[np.ndarray]:
+        rows = batch.column(name).slice(k, 1).flatten()
+        node, root, size = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("node", "root", "n_shingles"))
+        return [node, root, size, np.frombuffer(b"".join(rows.field("low").to_pylist()), np.uint8).reshape(len(node), -1)]
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                node, root, size, low = side(batch, "left", k)
+                own = batch.column("block")[k].as_py() == batch.column("other")[k].as_py()
+                others = side(batch, "right", k)
+                found = []
+                for i in range(len(node)):
+                    v, r, n, x = (y[i + 1 :] for y in others) if own else others
+                    at = np.flatnonzero((r != root[i]) & (100 * np.minimum(n, size[i]) >= percent * np.maximum(n, size[i])))
+                    if len(at):
+                        near = v[at[(x[at] == low[i]).mean(axis=1) >= floor]]
+                        found.append(np.stack([np.minimum(near, node[i]), np.maximum(near, node[i])]))
+                if found:
+                    both = np.concatenate(found, axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["u", "v"])
+
+    return work
+
+
+def blockwise(unsettled: DataFrame, regions: DataFrame, depth: int, percent: int, roots: DataFrame | None) -> DataFrame:
+    """Candidate pairs (u, v) of different components among all sets that share one of the full ``regions`` of a depth.
+
+    A region is dealt into blocks of about ``BLOCK`` sets and every two blocks meet in one row, so a task holds two blocks
+    whatever the size of a region. The number of comparisons grows with the square of the regions that still hold several components.
+    """
+    trees = trees_for(depth, percent)
+    table = unsettled.sparkSession.sparkContext.broadcast(key_table(regions, "region"))
+    schema = "region long, node long, n_shingles long, low binary"
+    placed = materialise(map_batches(unsettled, _members(depth, trees, table), schema).join(regions, "region", "left_semi"), "near_rest")
+    table.destroy()
+    rooted = _rooted(placed.select("region", "node"), roots)
+    several = rooted.groupBy("region").agg(F.count("*").alias("members"), F.min("root").alias("low_root"), F.max("root").alias("high_root"))
+    several = several.where("low_root < high_root").select("region", F.ceil(F.col("members") / BLOCK).alias("blocks"))
+    dealt = _rooted(placed, roots).join(materialise(several, "near_several"), "region").withColumn("block", F.expr("pmod(xxhash64(node), blocks)"))
+    members = F.collect_list(F.struct("node", "root", "n_shingles", "low")).alias("members")
+    blocks = materialise(dealt.groupBy("region", "blocks", "block").agg(members), "near_blocks")
+    left = blocks.select("region", "block", F.col("members").alias("left"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("other"))
+    right = blocks.select("region", F.col("block").alias("other"), F.col("members").alias("right"))
+    met = left.join(right, ["region", "other"]).select("block", "other", "left", "right")
+    return materialise(map_batches(met, _compare_blocks(percent), "u long, v long").distinct(), "near_pairs")
+
+
+def deeper(unsettled: DataFrame, depth: int, percent: int, full_reach: int = REACH) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """At a depth, for written rows (node, root, n_shingles, sig): candidate pairs (u, v) of different components, nodes whose
+    regions stay full, and the full regions.
 
     Full regions are known to the tasks by key tables of fixed size: a region taken for full by chance may be cut by a range or
     send its sets one level down, which costs work and, at one cut in thousands of regions, next to no pair.
     """
     trees = trees_for(depth, percent)
-    slack = DEEP_ERRORS * math.sqrt(percent * (100 - percent) / DEEP_FUNCTIONS) / 100
     sc = unsettled.sparkSession.sparkContext
     counts = map_batches(unsettled, _place(depth, trees), "region long, root long").groupBy("region").agg(
         F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high")
@@ -295,11 +369,11 @@ def deeper(unsettled: DataFrame, depth: int, percent: int, full_reach: int = REA
     counts = materialise(counts.where(F.col("members") > REACH).select("region", (F.col("low") < F.col("high")).alias("several")), "near_full_regions")
     full, several = (sc.broadcast(key_table(x, "region")) for x in (counts, counts.where("several")))
     schema = "region long, node long, root long, n_shingles long, order binary, cut binary"
-    pairs = materialise(_in_order(map_batches(unsettled, _lay_out(depth, trees, full), schema), REACH, percent, "u1", slack, full_reach), "near_pairs")
+    pairs = materialise(_in_order(map_batches(unsettled, _lay_out(depth, trees, full), schema), REACH, percent, "u1", percent / 100 - _floor(percent), full_reach), "near_pairs")
     again = materialise(map_batches(unsettled, _crowded(depth, trees, several), "node long"), "near_crowded")
     for table in (full, several):
         table.destroy()
-    return pairs, again
+    return pairs, again, counts.select("region")
 
 
 def _rooted(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -363,10 +437,16 @@ def _near_duplicates(docs: DataFrame, percent: int) -> DataFrame:
             signed = materialise(map_batches(full, _sign, "node long, n_shingles long, sig binary"), "near_signed")
         own = materialise(_rooted(signed.join(unsettled, "node", "left_semi"), roots).hint("rebalance"), "near_unsettled_sets")
         # sets of full regions go on to the next depth, so there it is enough that neighbours meet
-        pairs, unsettled = deeper(own, depth, percent, REACH if depth == DEPTHS[-1] else 1)
+        last = depth == DEPTHS[-1]
+        pairs, unsettled, regions = deeper(own, depth, percent, REACH if last else 1)
         if not pairs.isEmpty():
             links.append(confirmed(pairs, full, percent))
             roots = _joined(links[-1], roots)
+        if last and not unsettled.isEmpty():
+            pairs = blockwise(own, regions, depth, percent, roots)
+            if not pairs.isEmpty():
+                links.append(confirmed(pairs, full, percent))
+                roots = _joined(links[-1], roots)
     links = reduce(DataFrame.unionByName, links).distinct()
 
     known = sets.select("node", *keys, "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

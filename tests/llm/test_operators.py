@@ -103,6 +103,23 @@ def test_links_in_full_regions_need_no_neighbours(table, monkeypatch):
     assert got == linked_components(rows) and len({c for _, c in got.values()}) == 60
 
 
+def test_regions_full_at_the_last_depth_are_compared_whole(table, monkeypatch):
+    rng = random.Random(8)
+    shared = [f"s{i}" for i in range(200)]  # 0.72 alike across pairs, so they share many regions at the depth below
+    rows = []
+    for i in range(70):
+        own = [f"o{i}-{j}" for j in range(35)]
+        rows += [(2 * i, " ".join(shared + own)), (2 * i + 1, " ".join(shared + own[:-6] + [f"p{i}-{j}" for j in range(6)]))]
+    rng.shuffle(rows)
+    met = near._in_order
+    monkeypatch.setattr(near, "_in_order", lambda *args: met(*args).where("false"))
+    monkeypatch.setattr(near, "DEPTHS", (2,))
+    monkeypatch.setattr(near, "DEPTH", 1)
+    monkeypatch.setattr(near, "BLOCK", 16)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near.near_duplicates(table(rows)).collect()}
+    assert got == linked_components(rows) and len({c for _, c in got.values()}) == 70
+
+
 def test_token_scan_counts_equal_encoding(table, corpus):
     import tiktoken
 
