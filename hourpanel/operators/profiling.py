@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from hourpanel.spec import LOCATION_PANEL, WATCHED_LOCATIONS, PanelSpec
 
 TOP_GROUPS = 20
+#: What a cast to a number may accept, and a little more: a failed cast to double costs an exception.
+NUMBER = (
+    r"\A[\x00-\x20\x7F]*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]*)([eE][+-]?[0-9]+)?[dDfF]?"
+    r"|0[xX][0-9a-fA-F]*\.?[0-9a-fA-F]*[pP][+-]?[0-9]+[dDfF]?|(?i:nan|inf|infinity))[\x00-\x20\x7F]*\z"
+)
 
 
 def profile_counts(counts: DataFrame, spec: PanelSpec = LOCATION_PANEL) -> DataFrame:
@@ -65,6 +70,7 @@ def value_types(df: DataFrame, column: str) -> DataFrame:
     kind = (
         F.when(text.isNull(), F.lit("null"))
         .when(text.isin("true", "false"), F.lit("bool"))
+        .when(~text.rlike(NUMBER), F.lit("str"))
         .when(text.try_cast("bigint").isNotNull(), F.lit("int"))
         .when(text.try_cast("double").isNotNull(), F.lit("float"))
         .otherwise(F.lit("str"))

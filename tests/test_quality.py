@@ -5,7 +5,7 @@ from datetime import date, timedelta
 from panel_rows import counts, sensors
 from pyspark.sql import functions as F
 
-from hourpanel.operators import constraints, quality
+from hourpanel.operators import constraints, profiling, quality
 from hourpanel.sources.ingest import with_observed_at
 
 
@@ -162,3 +162,13 @@ def test_freshness_limits(spark):
         now = datetime(2026, 1, 1) + timedelta(hours=hours)
         assert constraints.freshness(df, now).first().status == status
     assert constraints.freshness(df.limit(0), datetime(2026, 1, 1)).first().status == "error"
+
+
+def test_words_that_are_no_numbers_are_never_cast(spark):
+    numbers = ["1", "-7", " 12\t", "12.", ".5", "+1.e-5", "1d", "0x1.8p1", "nan", "-Infinity", "INF", "9223372036854775808"]
+    words = ["word", "nano", "infix", "e5", "1_000", "2024-01-02", "1e", "1.2.3", "-", "\u0663", "\u0130nf", ""]
+    df = spark.createDataFrame([(w,) for w in [*numbers, *words, "true", None]], "w string")
+    word = F.col("w")
+    assert {r.w for r in df.where(word.rlike(profiling.NUMBER)).collect()} == set(numbers)
+    assert df.where(~word.rlike(profiling.NUMBER) & (word.try_cast("bigint").isNotNull() | word.try_cast("double").isNotNull())).isEmpty()
+    assert {r.value_type: r.n for r in profiling.value_types(df, "w").collect()} == {"int": 3, "float": 9, "str": 12, "bool": 1, "null": 1}
