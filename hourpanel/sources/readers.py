@@ -134,18 +134,26 @@ def read_calendar_csv(spark: SparkSession, path: str, schema: T.StructType) -> D
 
 
 CLOSE = "}"  # JSON objects are cut behind this sign, wherever it stands
+BLOCK_BITS = 12  # running sums over pieces go through blocks of at most 2**12 neighbouring pieces
+TASK_BYTES = 16 << 20  # JSON that a task sorts at once
 
 
 def _order():
-    return Window.partitionBy("path", "split").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return Window.partitionBy("path", "split", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _before(pieces: DataFrame, value: Column, out: str) -> DataFrame:
-    """Add ``out``, the sum of ``value`` over all earlier splits of the same file: one number a split, not a row, meets in a window."""
-    sums = pieces.groupBy(F.col("path").alias("p"), F.col("split").alias("s")).agg(F.sum(value).alias("own"))
-    earlier = Window.partitionBy("p").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    known = sums.select("p", "s", F.coalesce(F.sum("own").over(earlier), F.lit(0)).alias(out))
-    return pieces.join(known, (F.col("path") == F.col("p")) & (F.col("split") == F.col("s"))).drop("p", "s")
+def _before(pieces: DataFrame, value: Column, out: str, tasks: int) -> DataFrame:
+    """Add ``out``, the sum of ``value`` over all earlier blocks of the same file: one number a block of a split, and then one a split, meets in a window."""
+    block = pieces.groupBy(F.col("path").alias("p"), F.col("split").alias("s"), F.col("block").alias("b")).agg(F.sum(value).alias("own"))
+    split = block.groupBy(F.col("p").alias("sp"), F.col("s").alias("ss")).agg(F.sum("own").alias("whole"))
+    of_file = Window.partitionBy("sp").orderBy("ss").rowsBetween(Window.unboundedPreceding, -1)
+    of_split = Window.partitionBy("p", "s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    split = split.select("sp", "ss", F.coalesce(F.sum("whole").over(of_file), F.lit(0)).alias("splits"))
+    block = block.select("p", "s", "b", F.coalesce(F.sum("own").over(of_split), F.lit(0)).alias("blocks"))
+    known = block.join(split, (F.col("p") == F.col("sp")) & (F.col("s") == F.col("ss")))
+    known = known.select("p", "s", "b", (F.col("splits") + F.col("blocks")).alias(out))
+    dealt = pieces.repartition(tasks, "path", "split", "block")
+    return dealt.join(known, (F.col("path") == F.col("p")) & (F.col("split") == F.col("s")) & (F.col("block") == F.col("b"))).drop("p", "s", "b")
 
 
 def json_records(spark: SparkSession, path: str) -> DataFrame:
@@ -153,13 +161,18 @@ def json_records(spark: SparkSession, path: str) -> DataFrame:
 
     A file is an array of objects, or objects one after another. It is read in byte ranges by many tasks, cut behind every
     closing brace. Whether a cut is inside a string, and how deep it is, follows from what stands before it: each piece
-    tells its number of quotes and of opening braces for either case, and prefix sums, within a split and over the splits of a
-    file, stitch the pieces together. Only the pieces of one object meet. An object that never closes fails the job.
+    tells its number of quotes and of opening braces for either case, and prefix sums, within a block, over the blocks of a split and
+    over the splits of a file, stitch the pieces together. Only the pieces of one object meet. An object that never closes fails the job.
+    The number of partitions follows the size of the files, so what a task sorts does not grow with them: adaptive execution would
+    join partitions by their compressed size, and JSON is many times larger.
     """
     lines = spark.read.option("lineSep", CLOSE).text(path).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("at"), F.col("value").alias("piece"),
-    )
+    ).withColumn("block", F.shiftright("at", BLOCK_BITS))
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-size // TASK_BYTES))
+    key = ("path", "split", "block")
     bare = F.regexp_replace("piece", r"(?s)\\.", "")  # without escaped signs
 
     def opened(text: Column) -> Column:
@@ -168,22 +181,22 @@ def json_records(spark: SparkSession, path: str) -> DataFrame:
 
     pieces = materialise(
         lines.select(
-            "path", "split", "at", "piece", (F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))).alias("quotes"),
+            *key, "at", "piece", (F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))).alias("quotes"),
             opened(bare).alias("plain"), opened(F.regexp_replace(bare, r'(?s)\A[^"]*("|\z)', "")).alias("quoted"),
         ),
         "json-pieces",
     )
-    placed = _before(pieces, F.col("quotes"), "earlier").withColumn("after", F.col("earlier") + F.sum("quotes").over(_order()))
+    placed = _before(pieces, F.col("quotes"), "earlier", tasks).withColumn("after", F.col("earlier") + F.sum("quotes").over(_order()))
     inside = (F.col("after") - F.col("quotes")) % 2 == 1
     closes = F.col("after") % 2 == 0
-    placed = placed.select("path", "split", "at", "piece", (F.when(inside, F.col("quoted")).otherwise(F.col("plain")) - closes.cast("int")).alias("step"), closes.alias("closes"))
+    placed = placed.select(*key, "at", "piece", (F.when(inside, F.col("quoted")).otherwise(F.col("plain")) - closes.cast("int")).alias("step"), closes.alias("closes"))
     placed = materialise(placed, "json-steps")
-    deep = _before(placed, F.col("step"), "earlier").withColumn("depth", F.col("earlier") + F.sum("step").over(_order()))
-    ends = materialise(deep.select("path", "split", "at", "piece", (F.col("closes") & (F.col("depth") == 0)).alias("end")), "json-ends")
-    numbered = _before(ends, F.col("end").cast("int"), "earlier").withColumn(
+    deep = _before(placed, F.col("step"), "earlier", tasks).withColumn("depth", F.col("earlier") + F.sum("step").over(_order()))
+    ends = materialise(deep.select(*key, "at", "piece", (F.col("closes") & (F.col("depth") == 0)).alias("end")), "json-ends")
+    numbered = _before(ends, F.col("end").cast("int"), "earlier", tasks).withColumn(
         "record", F.col("earlier") + F.sum(F.col("end").cast("int")).over(_order()) - F.col("end").cast("int")
     )
-    whole = numbered.groupBy("path", "record").agg(
+    whole = numbered.repartition(tasks, "path", "record").groupBy("path", "record").agg(
         F.sort_array(F.collect_list(F.struct("split", "at", "piece"))).alias("parts"), F.max("end").alias("closed")
     )
     text = F.concat(F.array_join("parts.piece", CLOSE), F.lit(CLOSE))

@@ -182,3 +182,15 @@ def test_one_large_json_array_is_read_by_many_tasks(spark, tmp_path):
     (tmp_path / "cut.json").write_text('[{"id": 1}, {"id": 2, "s": "x')
     with pytest.raises(Exception, match="unfinished object"):
         readers.read_json_export(spark, str(tmp_path / "cut.json"), schemas.columns("id bigint")).collect()
+
+
+def test_pieces_of_one_split_are_summed_in_blocks(spark, tmp_path, monkeypatch):
+    rows = [{"id": i, "s": "}{" * (i % 5) + '"', "o": {"x": i}} for i in range(700)]
+    (tmp_path / "one.json").write_text(json.dumps(rows))
+    monkeypatch.setattr(readers, "BLOCK_BITS", 3)
+    seen = []
+    met = readers._before
+    monkeypatch.setattr(readers, "_before", lambda pieces, *args: seen.append(pieces.groupBy("path", "split", "block").count().agg(F.max("count"), F.count("*")).first()) or met(pieces, *args))
+    got = readers.read_json_export(spark, str(tmp_path / "one.json"), T.StructType.fromDDL("id bigint, s string, o struct<x:bigint>")).collect()
+    assert sorted((r.id, r.s, r.o.x) for r in got) == [(r["id"], r["s"], r["id"]) for r in rows]
+    assert all(most <= 8 and blocks > 100 for most, blocks in seen) and len(seen) == 3
