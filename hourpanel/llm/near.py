@@ -2,13 +2,13 @@
 
 Every distinct shingle set gets one MinHash signature. A tree of the forest is an order of its
 values: the sets are sorted by the reordered values, and sets that stand near each other with a
-common prefix are candidates. A region (the sets that share the first values of an order) of up to
-``REACH`` sets is compared whole. In a fuller region immediate neighbours are confirmed and joined
-into components first; then each set meets the ``REACH`` next ones of other components. A full region that
-still holds several components is too shallow for its sets: they go down to the next of ``DEPTHS``, where a region
+common prefix are candidates. In every region (the sets that share the first values of an order) immediate neighbours
+are confirmed and joined into components first. Only regions that still hold several components go on: those of up to ``REACH`` sets are
+compared whole. A fuller one is too shallow for its sets: they go down to the next of ``DEPTHS``, where a region
 shares more values, and where there are so many more trees that a pair at the threshold is still met (``trees_for``).
-Full regions of the last depth meet along their order first; those that still hold several components are compared
-whole, by pairs of blocks of about ``BLOCK`` sets, so no pair of a region is left out (``blockwise``).
+There the regions of several components are compared whole on the full sets, by pairs of blocks of about ``BLOCK`` sets, so no pair of
+a region is left out and no row is made for a pair that is no link (``blockwise``). Regions of more than ``CROWD`` sets go deeper first; at
+the last depth all are compared.
 
 A candidate is confirmed on the full sets. The only loss is the chance that a true pair shares no
 region of its depth, or that its estimate falls below the floor: under 4e-6 for a pair at exactly 0.85 in
@@ -23,7 +23,6 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,10 +34,12 @@ FUNCTIONS = 128  # MinHash values per set
 TREES = 16  # sorted orders, rotations of the signature
 STEP = FUNCTIONS // TREES  # a tree starts this many values after the one before
 DEPTH = 3  # values that members of a region share
-DEPTHS = (8, 14)  # the same for sets whose regions are full
+DEPTHS = (6, 10, 14)  # the same for sets whose regions are full
 MISS = 1e-3  # chance that a pair at the threshold shares no region of a deeper level
 REACH = 32  # largest region that a task compares whole
-BLOCK = 512  # sets that one row holds where fuller regions are compared whole
+CROWD = 4096  # largest region that is compared whole if there is a deeper level
+BLOCK = 256  # sets that one row holds where fuller regions are compared whole
+BLOCK_SHINGLES = 1 << 18  # shingles that it holds, if its sets are long
 PERCENT = 85  # a link: 100 * intersection >= PERCENT * union
 SLACK = 0.14  # the estimate may fall this far below the threshold (4.4 standard errors)
 DEEP_FUNCTIONS = 256  # MinHash values of the sets that go deeper, made from their full sets
@@ -106,17 +107,16 @@ def forest(sets: DataFrame, trees: int = TREES) -> DataFrame:
 
 def neighbours(rows: DataFrame, reach: int, percent: int = PERCENT) -> DataFrame:
     """Candidate pairs (u, v) from the rows of ``forest`` with their root and cut."""
-    return _in_order(rows, reach, percent, ">u4", SLACK, REACH)
+    return _in_order(rows, reach, percent)
 
 
-def _in_order(rows: DataFrame, reach: int, percent: int, kind: str, slack: float, full_reach: int) -> DataFrame:
+def _in_order(rows: DataFrame, reach: int, percent: int) -> DataFrame:
     """Candidate pairs (u, v) from forest rows: near in sorted order, same region, sizes and estimate that allow a link.
 
     Rows are dealt by ranges: regions of up to ``REACH`` sets, whose ``cut`` is null, stay whole; a fuller one spreads over
-    tasks by its order. A task reads the order as a stream and holds the last ``reach`` rows. ``kind`` is the type of the order's values.
-    Rows of full regions meet the ``full_reach`` next ones at most.
+    tasks by its order. A task reads the order as a stream and holds the last ``reach`` rows.
     """
-    floor = percent / 100 - slack
+    floor = percent / 100 - SLACK
 
     def pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = None
@@ -124,20 +124,18 @@ def _in_order(rows: DataFrame, reach: int, percent: int, kind: str, slack: float
             if not batch.num_rows:
                 continue
             cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("region", "node", "root", "n_shingles")]
-            cols.append(batch.column("full").to_numpy(zero_copy_only=False))
-            cols.append(np.frombuffer(b"".join(batch.column("order").to_pylist()), kind).reshape(batch.num_rows, -1))
+            cols.append(np.frombuffer(b"".join(batch.column("order").to_pylist()), ">u4").reshape(batch.num_rows, -1))
             fresh = 0
             if tail is not None:
                 fresh = len(tail[0])
                 cols = [np.concatenate([x, y]) for x, y in zip(tail, cols, strict=True)]
-            region, node, root, size, full, sig = cols
+            region, node, root, size, sig = cols
             found = []
             for gap in range(1, min(reach, len(region) - 1) + 1):
                 i = np.arange(max(0, fresh - gap), len(region) - gap)
                 i = i[region[i] == region[i + gap]]
                 if not len(i):
                     break  # ordered by region: no wider gap can match either
-                i = i[~full[i]] if gap > full_reach else i
                 j = i + gap
                 ok = (root[i] != root[j]) & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j]))
                 i, j = i[ok], j[ok]
@@ -152,8 +150,7 @@ def _in_order(rows: DataFrame, reach: int, percent: int, kind: str, slack: float
 
     # a range for every shuffle partition; bounds cut inside full regions only, as other rows of a region have one ``cut``
     dealt = rows.repartitionByRange("region", "cut").sortWithinPartitions("region", "order", "node")
-    columns = dealt.select("region", "node", "root", "n_shingles", F.col("cut").isNotNull().alias("full"), "order")
-    return map_batches(columns, pairs, "u long, v long").distinct()
+    return map_batches(dealt.select("region", "node", "root", "n_shingles", "order"), pairs, "u long, v long").distinct()
 
 
 def _sets_again(table):
@@ -228,7 +225,9 @@ def _sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in _pieces(batches):
         sets = [np.frombuffer(x, np.uint64) for x in part.column("members").to_pylist()]
         sig = [x.tobytes() for x in signatures(sets, scale, shift).astype(">u4")]
-        yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([len(x) for x in sets], pa.int64()), pa.array(sig, pa.binary())], ["node", "n_shingles", "sig"])
+        yield pa.RecordBatch.from_arrays(
+            [part.column("node"), pa.array([len(x) for x in sets], pa.int64()), pa.array(sig, pa.binary()), part.column("members")], ["node", "n_shingles", "sig", "members"]
+        )
 
 
 def _signatures_of(batch: pa.RecordBatch) -> np.ndarray:
@@ -245,85 +244,56 @@ def _place(depth: int, trees: int):
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _pieces(batches):
             region = _regions_of(_signatures_of(part), depth, trees)
-            yield pa.RecordBatch.from_arrays([pa.array(region.ravel()), part.column("root").take(pa.array(np.repeat(np.arange(part.num_rows), trees)))], ["region", "root"])
-
-    return work
-
-
-def _lay_out(depth: int, trees: int, full):
-    """Forest rows of deeper levels. The order is the last byte of every value, from a beginning that differs by tree."""
-
-    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _pieces(batches, 64):
-            sig = _signatures_of(part)
-            region = _regions_of(sig, depth, trees)
-            low = sig.astype(np.uint8)
-            width = sig.shape[1]
-            turned = (np.arange(width)[None, :] + 7 * np.arange(trees)[:, None]) % width
-            flat = np.ascontiguousarray(low[:, turned]).reshape(-1)
-            n = part.num_rows * trees
-            order = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(n + 1, dtype=np.int32) * width), pa.py_buffer(flat)])
             owner = pa.array(np.repeat(np.arange(part.num_rows), trees))
-            crowded = pa.array(in_table(full.value, region.ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(region.ravel()), *(part.column(c).take(owner) for c in ("node", "root", "n_shingles")), order, pc.if_else(crowded, order, pa.scalar(None, pa.binary()))],
-                ["region", "node", "root", "n_shingles", "order", "cut"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(region.ravel()), *(part.column(c).take(owner) for c in ("root", "n_shingles"))], ["region", "root", "n_shingles"])
 
     return work
 
 
-def _crowded(depth: int, trees: int, mixed_regions):
+def _members(depth: int, trees: int, wanted):
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _pieces(batches):
-            again = in_table(mixed_regions.value, _regions_of(_signatures_of(part), depth, trees).ravel()).reshape(part.num_rows, trees).any(axis=1)
-            yield part.select(["node"]).filter(pa.array(again))
+            region = _regions_of(_signatures_of(part), depth, trees).ravel()
+            at = np.flatnonzero(in_table(wanted.value, region))
+            yield pa.RecordBatch.from_arrays([pa.array(region[at]), part.column("node").take(pa.array(at // trees))], ["region", "node"])
 
     return work
 
 
 def _floor(percent: int) -> float:
-    """Least estimate of a candidate among the sets that go deeper."""
+    """Least estimate of a pair among the sets that go deeper, from which it is compared on its full sets."""
     return percent / 100 - DEEP_ERRORS * math.sqrt(percent * (100 - percent) / DEEP_FUNCTIONS) / 100
 
 
-def _members(depth: int, trees: int, full):
-    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _pieces(batches):
-            sig = _signatures_of(part)
-            region = _regions_of(sig, depth, trees).ravel()
-            at = np.flatnonzero(in_table(full.value, region))
-            owner = pa.array(at // trees)
-            low = pa.array([x.tobytes() for x in sig.astype(np.uint8)], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(region[at]), part.column("node").take(owner), part.column("n_shingles").take(owner), low.take(owner)], ["region", "node", "n_shingles", "low"]
-            )
-
-    return work
-
-
 def _compare_blocks(percent: int):
-    """Pairs of two blocks, or within one, of different components whose sizes and estimate allow a link."""
+    """Links of two blocks, or within one, between different components: sizes and estimate allow them and the full sets confirm them."""
     floor = _floor(percent)
 
-    def side(batch: pa.RecordBatch, name: str, k: int) -> list[np.ndarray]:
+    def side(batch: pa.RecordBatch, name: str, k: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
         rows = batch.column(name).slice(k, 1).flatten()
         node, root, size = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("node", "root", "n_shingles"))
-        return [node, root, size, np.frombuffer(b"".join(rows.field("low").to_pylist()), np.uint8).reshape(len(node), -1)]
+        low = np.frombuffer(b"".join(rows.field("sig").to_pylist()), ">u4").astype(np.uint8).reshape(len(node), -1)
+        return [node, root, size, low], [np.frombuffer(x, np.uint64) for x in rows.field("members").to_pylist()]
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                node, root, size, low = side(batch, "left", k)
+                (node, root, size, low), sets = side(batch, "left", k)
                 own = batch.column("block")[k].as_py() == batch.column("other")[k].as_py()
-                others = side(batch, "right", k)
+                others, other_sets = side(batch, "right", k)
                 found = []
                 for i in range(len(node)):
-                    v, r, n, x = (y[i + 1 :] for y in others) if own else others
+                    skip = i + 1 if own else 0
+                    v, r, n, x = (y[skip:] for y in others)
                     at = np.flatnonzero((r != root[i]) & (100 * np.minimum(n, size[i]) >= percent * np.maximum(n, size[i])))
-                    if len(at):
-                        near = v[at[(x[at] == low[i]).mean(axis=1) >= floor]]
-                        found.append(np.stack([np.minimum(near, node[i]), np.maximum(near, node[i])]))
+                    at = at[(x[at] == low[i]).mean(axis=1) >= floor] if len(at) else at
+                    if not len(at):
+                        continue
+                    flat = np.concatenate([other_sets[skip + j] for j in at.tolist()])
+                    same = sets[i][np.minimum(np.searchsorted(sets[i], flat), len(sets[i]) - 1)] == flat
+                    common = np.add.reduceat(same.astype(np.int64), np.concatenate([[0], np.cumsum(n[at])[:-1]]))
+                    linked = v[at[100 * common >= percent * (n[at] + size[i] - common)]]
+                    found.append(np.stack([np.minimum(linked, node[i]), np.maximum(linked, node[i])]))
                 if found:
                     both = np.concatenate(found, axis=1)
                     yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["u", "v"])
@@ -331,49 +301,41 @@ def _compare_blocks(percent: int):
     return work
 
 
-def blockwise(unsettled: DataFrame, regions: DataFrame, depth: int, percent: int, roots: DataFrame | None) -> DataFrame:
-    """Candidate pairs (u, v) of different components among all sets that share one of the full ``regions`` of a depth.
+def blockwise(sets: DataFrame, regions: DataFrame, depth: int, percent: int) -> DataFrame:
+    """Links (u, v) of different components among all written ``sets`` (node, root, n_shingles, sig, members) that share one of the ``regions`` of a depth.
 
     A region is dealt into blocks of about ``BLOCK`` sets and every two blocks meet in one row, so a task holds two blocks
-    whatever the size of a region. The number of comparisons grows with the square of the regions that still hold several components.
+    whatever the size of a region. The number of comparisons grows with the square of the regions.
     """
     trees = trees_for(depth, percent)
-    table = unsettled.sparkSession.sparkContext.broadcast(key_table(regions, "region"))
-    schema = "region long, node long, n_shingles long, low binary"
-    placed = materialise(map_batches(unsettled, _members(depth, trees, table), schema).join(regions, "region", "left_semi"), "near_rest")
+    table = sets.sparkSession.sparkContext.broadcast(key_table(regions, "region"))
+    blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("shingles") / BLOCK_SHINGLES))
+    place = regions.select("region", blocks.alias("blocks"))
+    placed = map_batches(sets.select("node", "sig"), _members(depth, trees, table), "region long, node long").join(place, "region")
+    dealt = placed.withColumn("block", F.expr("pmod(xxhash64(node, region), blocks)")).join(sets, "node")
+    held = F.collect_list(F.struct("node", "root", "n_shingles", "sig", "members")).alias("held")
+    blocks = materialise(dealt.groupBy("region", "blocks", "block").agg(held), "near_blocks")
     table.destroy()
-    rooted = _rooted(placed.select("region", "node"), roots)
-    several = rooted.groupBy("region").agg(F.count("*").alias("members"), F.min("root").alias("low_root"), F.max("root").alias("high_root"))
-    several = several.where("low_root < high_root").select("region", F.ceil(F.col("members") / BLOCK).alias("blocks"))
-    dealt = _rooted(placed, roots).join(materialise(several, "near_several"), "region").withColumn("block", F.expr("pmod(xxhash64(node), blocks)"))
-    members = F.collect_list(F.struct("node", "root", "n_shingles", "low")).alias("members")
-    blocks = materialise(dealt.groupBy("region", "blocks", "block").agg(members), "near_blocks")
-    left = blocks.select("region", "block", F.col("members").alias("left"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("other"))
-    right = blocks.select("region", F.col("block").alias("other"), F.col("members").alias("right"))
+    left = blocks.select("region", "block", F.col("held").alias("left"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("other"))
+    right = blocks.select("region", F.col("block").alias("other"), F.col("held").alias("right"))
     met = left.join(right, ["region", "other"]).select("block", "other", "left", "right")
-    return materialise(map_batches(met, _compare_blocks(percent), "u long, v long").distinct(), "near_pairs")
+    return materialise(map_batches(met, _compare_blocks(percent), "u long, v long").distinct(), "near_links")
 
 
-def deeper(unsettled: DataFrame, depth: int, percent: int, full_reach: int = REACH) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """At a depth, for written rows (node, root, n_shingles, sig): candidate pairs (u, v) of different components, nodes whose
-    regions stay full, and the full regions.
+def several(sets: DataFrame, depth: int, percent: int) -> DataFrame:
+    """(region, members, shingles) of the regions of a depth that hold several components, for written rows with root, n_shingles and sig."""
+    placed = map_batches(sets.select("root", "n_shingles", "sig"), _place(depth, trees_for(depth, percent)), "region long, root long, n_shingles long")
+    counts = placed.groupBy("region").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("shingles"), F.min("root").alias("low"), F.max("root").alias("high"))
+    return materialise(counts.where("low < high").drop("low", "high"), "near_several")
 
-    Full regions are known to the tasks by key tables of fixed size: a region taken for full by chance may be cut by a range or
-    send its sets one level down, which costs work and, at one cut in thousands of regions, next to no pair.
-    """
-    trees = trees_for(depth, percent)
-    sc = unsettled.sparkSession.sparkContext
-    counts = map_batches(unsettled, _place(depth, trees), "region long, root long").groupBy("region").agg(
-        F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high")
-    )
-    counts = materialise(counts.where(F.col("members") > REACH).select("region", (F.col("low") < F.col("high")).alias("several")), "near_full_regions")
-    full, several = (sc.broadcast(key_table(x, "region")) for x in (counts, counts.where("several")))
-    schema = "region long, node long, root long, n_shingles long, order binary, cut binary"
-    pairs = materialise(_in_order(map_batches(unsettled, _lay_out(depth, trees, full), schema), REACH, percent, "u1", percent / 100 - _floor(percent), full_reach), "near_pairs")
-    again = materialise(map_batches(unsettled, _crowded(depth, trees, several), "node long"), "near_crowded")
-    for table in (full, several):
-        table.destroy()
-    return pairs, again, counts.select("region")
+
+def crowded(sets: DataFrame, regions: DataFrame, depth: int, percent: int) -> DataFrame:
+    """(node) of the sets in the given regions of a depth."""
+    table = sets.sparkSession.sparkContext.broadcast(key_table(regions, "region"))
+    placed = map_batches(sets.select("node", "sig"), _members(depth, trees_for(depth, percent), table), "region long, node long")
+    nodes = materialise(placed.join(regions.select("region"), "region", "left_semi").select("node").distinct(), "near_crowded")
+    table.destroy()
+    return nodes
 
 
 def _rooted(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -418,35 +380,39 @@ def _near_duplicates(docs: DataFrame, percent: int) -> DataFrame:
     level = materialise(forest(plain), "near_forest")
     level = level.withColumn("cut", F.when(F.col("members") > REACH, F.col("order")))
     links, roots = [], None
-    for reach in (1, REACH):
-        pairs = materialise(neighbours(_rooted(level, roots), reach, percent), "near_pairs")
+
+    def confirm(pairs: DataFrame) -> None:
+        nonlocal roots
+        pairs = materialise(pairs, "near_pairs")
         if roots is not None and pairs.isEmpty():
-            continue  # nothing can join two components
+            return  # nothing can join two components
         nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
         links.append(confirmed(pairs, full_sets(nodes, sets, docs), percent))
         roots = _joined(links[-1], roots)
-    rooted = _rooted(level.where(F.col("members") > REACH).select("region", "node"), roots)
-    several = rooted.groupBy("region").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("region")
-    unsettled = materialise(rooted.join(several, "region").select("node").distinct(), "near_unsettled")
-    full = signed = None
+
+    confirm(neighbours(_rooted(level, None), 1, percent))
+    rooted = _rooted(level.select("region", "members", "node"), roots)
+    mixed_regions = rooted.groupBy("region").agg(F.first("members").alias("members"), F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed_regions = materialise(mixed_regions.where("low < high").select("region", "members"), "near_mixed")
+    small, large = (mixed_regions.where(x).select("region") for x in (F.col("members") <= REACH, F.col("members") > REACH))
+    confirm(neighbours(_rooted(level.join(small, "region", "left_semi"), roots), REACH, percent))
+    unsettled = materialise(level.join(large, "region", "left_semi").select("node").distinct(), "near_unsettled")
+    signed = None
     for depth in DEPTHS:
         if unsettled.isEmpty():
             break
-        if full is None:
-            full = full_sets(unsettled, sets, docs)
-            signed = materialise(map_batches(full, _sign, "node long, n_shingles long, sig binary"), "near_signed")
-        own = materialise(_rooted(signed.join(unsettled, "node", "left_semi"), roots).hint("rebalance"), "near_unsettled_sets")
-        # sets of full regions go on to the next depth, so there it is enough that neighbours meet
-        last = depth == DEPTHS[-1]
-        pairs, unsettled, regions = deeper(own, depth, percent, REACH if last else 1)
-        if not pairs.isEmpty():
-            links.append(confirmed(pairs, full, percent))
-            roots = _joined(links[-1], roots)
-        if last and not unsettled.isEmpty():
-            pairs = blockwise(own, regions, depth, percent, roots)
-            if not pairs.isEmpty():
-                links.append(confirmed(pairs, full, percent))
-                roots = _joined(links[-1], roots)
+        if signed is None:
+            schema = "node long, n_shingles long, sig binary, members binary"
+            signed = materialise(map_batches(full_sets(unsettled, sets, docs), _sign, schema), "near_signed")
+        tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        own = materialise(_rooted(signed.join(unsettled, "node", "left_semi"), roots).repartition(tasks), "near_unsettled_sets")
+        regions = several(own, depth, percent)
+        fuller = regions.where(F.lit(depth != DEPTHS[-1]) & (F.col("members") > CROWD))
+        links.append(blockwise(own, regions.join(fuller.select("region"), "region", "left_anti"), depth, percent))
+        roots = _joined(links[-1], roots)
+        if fuller.isEmpty():
+            break
+        unsettled = crowded(own, fuller, depth, percent)
     links = reduce(DataFrame.unionByName, links).distinct()
 
     known = sets.select("node", *keys, "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -12,7 +12,7 @@ import pytest
 from conftest import prose
 
 import corpus_pipeline
-from hourpanel.llm import ctw, decontam, exact, langid, licenses, mixing, near, pii, token_scan, toxicity
+from hourpanel.llm import ctw, decontam, exact, graph, langid, licenses, mixing, near, pii, token_scan, toxicity
 from hourpanel.llm.text import in_table, key_table, text_shingles
 
 
@@ -120,6 +120,43 @@ def test_regions_full_at_the_last_depth_are_compared_whole(table, monkeypatch):
     assert got == linked_components(rows) and len({c for _, c in got.values()}) == 70
 
 
+def test_alike_documents_make_no_row_a_pair(table, monkeypatch):
+    rng = random.Random(9)
+    shared = [f"s{i}" for i in range(200)]  # all 0.77 alike: every pair is compared, none is a link
+    rows = [(i, " ".join(shared + [f"o{i}-{j}" for j in range(rng.randint(27, 30))])) for i in range(300)]
+    written, write = [], near.materialise
+
+    def counted(df, name):
+        out = write(df, name)
+        written.append((out.count(), name))
+        return out
+
+    monkeypatch.setattr(near, "materialise", counted)
+    assert all(r.kept for r in near.near_duplicates(table(rows)).collect())
+    assert max(written)[0] <= 20 * len(rows)
+
+
+def test_components_are_the_same_in_many_folds(spark, monkeypatch):
+    rng = random.Random(10)
+    links = [(i, i + 1) for i in range(60)] + [(rng.randrange(100, 400), rng.randrange(100, 400)) for _ in range(170)] + [(7, 7)]
+    parent = list(range(400))
+    for a, b in links:
+        while parent[a] != a:
+            a = parent[a]
+        while parent[b] != b:
+            b = parent[b]
+        parent[max(a, b)] = min(a, b)
+
+    def root(i):
+        return i if parent[i] == i else root(parent[i])
+
+    expected = {i: root(i) for i in {x for link in links if link[0] != link[1] for x in link}}
+    frame = spark.createDataFrame(links, "u long, v long").repartition(6)
+    for at_once in (1 << 20, 16):
+        monkeypatch.setattr(graph, "AT_ONCE", at_once)
+        assert {r.node: r.root for r in graph.components(frame).collect()} == expected
+
+
 def test_token_scan_counts_equal_encoding(table, corpus):
     import tiktoken
 
