@@ -224,9 +224,10 @@ def _sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     scale, shift = multipliers(DEEP_FUNCTIONS, SEED + 1)
     for part in _pieces(batches):
         sets = [np.frombuffer(x, np.uint64) for x in part.column("members").to_pylist()]
-        sig = [x.tobytes() for x in signatures(sets, scale, shift).astype(">u4")]
+        values = signatures(sets, scale, shift)
+        sig, low = (pa.array([x.tobytes() for x in values.astype(kind)], pa.binary()) for kind in (">u4", np.uint8))
         yield pa.RecordBatch.from_arrays(
-            [part.column("node"), pa.array([len(x) for x in sets], pa.int64()), pa.array(sig, pa.binary()), part.column("members")], ["node", "n_shingles", "sig", "members"]
+            [part.column("node"), pa.array([len(x) for x in sets], pa.int64()), sig, low, part.column("members")], ["node", "n_shingles", "sig", "low", "members"]
         )
 
 
@@ -272,7 +273,7 @@ def _compare_blocks(percent: int):
     def side(batch: pa.RecordBatch, name: str, k: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
         rows = batch.column(name).slice(k, 1).flatten()
         node, root, size = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("node", "root", "n_shingles"))
-        low = np.frombuffer(b"".join(rows.field("sig").to_pylist()), ">u4").astype(np.uint8).reshape(len(node), -1)
+        low = np.frombuffer(b"".join(rows.field("low").to_pylist()), np.uint8).reshape(len(node), -1)
         return [node, root, size, low], [np.frombuffer(x, np.uint64) for x in rows.field("members").to_pylist()]
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,7 +303,7 @@ def _compare_blocks(percent: int):
 
 
 def blockwise(sets: DataFrame, regions: DataFrame, depth: int, percent: int) -> DataFrame:
-    """Links (u, v) of different components among all written ``sets`` (node, root, n_shingles, sig, members) that share one of the ``regions`` of a depth.
+    """Links (u, v) of different components among all written ``sets`` (node, root, n_shingles, sig, low, members) that share one of the ``regions`` of a depth.
 
     A region is dealt into blocks of about ``BLOCK`` sets and every two blocks meet in one row, so a task holds two blocks
     whatever the size of a region. The number of comparisons grows with the square of the regions.
@@ -312,13 +313,15 @@ def blockwise(sets: DataFrame, regions: DataFrame, depth: int, percent: int) ->
     blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("shingles") / BLOCK_SHINGLES))
     place = regions.select("region", blocks.alias("blocks"))
     placed = map_batches(sets.select("node", "sig"), _members(depth, trees, table), "region long, node long").join(place, "region")
-    dealt = placed.withColumn("block", F.expr("pmod(xxhash64(node, region), blocks)")).join(sets, "node")
-    held = F.collect_list(F.struct("node", "root", "n_shingles", "sig", "members")).alias("held")
+    dealt = placed.withColumn("block", F.expr("pmod(xxhash64(node, region), blocks)")).join(sets.drop("sig"), "node")
+    held = F.collect_list(F.struct("node", "root", "n_shingles", "low", "members")).alias("held")
     blocks = materialise(dealt.groupBy("region", "blocks", "block").agg(held), "near_blocks")
     table.destroy()
-    left = blocks.select("region", "block", F.col("held").alias("left"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("other"))
-    right = blocks.select("region", F.col("block").alias("other"), F.col("held").alias("right"))
-    met = left.join(right, ["region", "other"]).select("block", "other", "left", "right")
+    alone = blocks.select("block", F.col("block").alias("other"), F.col("held").alias("left"), F.col("held").alias("right"))
+    left = blocks.where("block < blocks - 1")
+    left = left.select("region", "block", F.col("held").alias("left"), F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)).alias("other"))
+    right = blocks.where("block > 0").select("region", F.col("block").alias("other"), F.col("held").alias("right"))
+    met = alone.unionByName(left.join(right, ["region", "other"]).select("block", "other", "left", "right"))
     return materialise(map_batches(met, _compare_blocks(percent), "u long, v long").distinct(), "near_links")
 
 
@@ -402,7 +405,7 @@ def _near_duplicates(docs: DataFrame, percent: int) -> DataFrame:
         if unsettled.isEmpty():
             break
         if signed is None:
-            schema = "node long, n_shingles long, sig binary, members binary"
+            schema = "node long, n_shingles long, sig binary, low binary, members binary"
             signed = materialise(map_batches(full_sets(unsettled, sets, docs), _sign, schema), "near_signed")
         tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         own = materialise(_rooted(signed.join(unsettled, "node", "left_semi"), roots).repartition(tasks), "near_unsettled_sets")
