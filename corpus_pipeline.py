@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from hourpanel.llm import decontam, exact, langid, mixing, near  # noqa: E402
+from hourpanel.llm.text import batches_of  # noqa: E402
 from hourpanel.session import materialise  # noqa: E402
 
 
@@ -56,6 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage_{name}")
+    with batches_of(spark, near.BATCH_BYTES):  # texts in Python and in Arrow buffers beside the heap
+        for name, stage in STAGES[:-1]:
+            docs = materialise(stage(spark, docs, sf_dir), f"stage_{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourpanel.llm.text import SHINGLE, combined, encoded, in_table, key_table, map_batches, mixed, multipliers, slices, text_shingles, word_hashes
+from hourpanel.llm.text import SHINGLE, combined, divided, encoded, in_table, key_table, map_batches, mixed, multipliers, slices, text_shingles, word_hashes
 from hourpanel.session import materialise
 
 FUNCTIONS = 64
@@ -203,7 +203,9 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that contain no item. Rows are told apart by identifier and text."""
+    """The rows of ``docs`` that contain no item. Rows are told apart by identifier and text; only texts that may go are moved."""
     found = contained_items(docs, items).select(F.col("doc_id").alias("l_id"), F.col("text_key").alias("l_key")).distinct()
-    match = docs["doc_id"].cast("long").eqNullSafe(F.col("l_id")) & (F.xxhash64(docs["text"]) == F.col("l_key"))
-    return docs.hint("merge").join(materialise(found, "leaks"), match, "left_anti")
+    leaks = materialise(found, "leaks")
+    sure, open_rows = divided(docs, leaks.select(F.col("l_key").alias("key")), F.xxhash64(docs["text"]))
+    match = open_rows["doc_id"].cast("long").eqNullSafe(F.col("l_id")) & (F.xxhash64(open_rows["text"]) == F.col("l_key"))
+    return sure.unionByName(open_rows.hint("merge").join(leaks, match, "left_anti"))

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourpanel.llm.text import divided
 from hourpanel.session import materialise
 
 CAPACITY = 4096  # entries in a bucket
@@ -111,14 +112,17 @@ def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY, max_depth: int =
 
 
 def survivors(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` to keep: one per class of equal texts, also where a row is repeated."""
-    kept = exact_duplicates(docs).where("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("times"))
-    kept = materialise(kept.select(F.col("doc_id").alias("k_id"), F.col("text_sha256").alias("k_sha"), "times"), "hash_kept")
-    tagged = docs.withColumn("__sha", F.sha2(normalised(), 256))
+    """The rows of ``docs`` to keep: one per class of equal texts, also where a row is repeated. Only texts that may go are moved."""
+    copies = exact_duplicates(docs).where("group_size > 1").groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count("*").alias("times"))
+    doubt = copies.where("not kept or times > 1").select(F.col("doc_id").alias("k_id"), F.col("text_sha256").alias("k_sha"), F.col("kept").alias("k_kept"))
+    doubt = materialise(doubt, "hash_doubt")
+    sure, open_rows = divided(docs, doubt.select(F.xxhash64("k_id").alias("key")), F.xxhash64(docs["doc_id"].cast("long")))
+    tagged = open_rows.withColumn("__sha", F.sha2(normalised(), 256))
     match = tagged["doc_id"].cast("long").eqNullSafe(F.col("k_id")) & (tagged["__sha"] == F.col("k_sha"))
-    single = tagged.hint("merge").join(kept.where("times = 1"), match, "left_semi")
-    repeated = tagged.join(kept.where("times > 1"), match, "left_semi").dropDuplicates(["doc_id", "__sha"])
-    return single.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+    dropped = doubt.where("not k_kept")
+    # only repeated rows have an identifier and a text in common with another one that stays
+    stay = tagged.hint("merge").join(dropped, match, "left_anti").dropDuplicates(["doc_id", "__sha"])
+    return sure.unionByName(stay.select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 EXACT_SQL = r"""

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourpanel.llm.graph import components
-from hourpanel.llm.text import batches_of, encoded, in_table, key_table, map_batches, mixed, multipliers, parts, signatures, text_shingles
+from hourpanel.llm.text import batches_of, divided, encoded, in_table, key_table, map_batches, mixed, multipliers, parts, signatures, text_shingles
 from hourpanel.session import materialise
 
 FUNCTIONS = 128  # MinHash values per set
@@ -431,6 +431,9 @@ def _near_duplicates(docs: DataFrame, percent: int) -> DataFrame:
 
 
 def survivors(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that near_duplicates keeps, one per component."""
-    kept = near_duplicates(docs, percent).where("kept").select(F.col("doc_id").alias("k_id")).distinct()
-    return docs.join(materialise(kept, "near_kept"), docs["doc_id"].eqNullSafe(F.col("k_id")), "left_semi")
+    """The rows of ``docs`` that near_duplicates keeps, one per component. Only texts that may go are moved."""
+    ids = near_duplicates(docs, percent).groupBy(F.col("doc_id").alias("d_id")).agg(F.max("kept").alias("kept"))
+    dropped = materialise(ids.where("not kept").select("d_id"), "near_dropped")
+    sure, open_rows = divided(docs, dropped.select(F.xxhash64("d_id").alias("key")), F.xxhash64(docs["doc_id"].cast("long")))
+    stay = open_rows.hint("merge").join(dropped, open_rows["doc_id"].cast("long").eqNullSafe(F.col("d_id")), "left_anti")
+    return sure.unionByName(stay)

@@ -13,7 +13,7 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 2 << 20  # text handled at once inside a task; one longer document makes its own slice
@@ -192,3 +192,17 @@ def key_table(keys: DataFrame, column: str = "key") -> np.ndarray:
 def in_table(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     at = (keys.view(np.uint64) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
     return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def divided(docs: DataFrame, keys: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` whose ``key`` is surely not among ``keys`` (column key), and the others: those that are, and a few more.
+
+    Only keys reach Python, and rows of the first part need not be moved to be told apart.
+    """
+    table = docs.sparkSession.sparkContext.broadcast(key_table(keys))
+
+    @F.arrow_udf("boolean")
+    def among(values: pa.Array) -> pa.Array:
+        return pa.array(in_table(table.value, values.to_numpy(zero_copy_only=False)))
+
+    return docs.where(~among(key)), docs.where(among(key))

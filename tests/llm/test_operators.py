@@ -491,6 +491,31 @@ def test_pipeline_drops_near_copies_from_80_percent_on(spark, table):
     assert all(r.kept for r in near.near_duplicates(table(rows)).collect())  # the query op1 links from 85 on
 
 
+def test_stages_move_only_texts_that_may_go(spark, table, corpus):
+    """The pipeline stages that drop rows: a row that surely stays is read and written without an exchange, odd and repeated rows too."""
+    repeated = [(None, corpus[3][1], "en"), (None, "nothing like it", "en"), (None, "nothing like it", "en"), (5, "nothing  like it", "en"), (900, None, "en"), (900, None, "en"), (901, "", "en"), (3, "another text of row three", "en")]
+    docs = table([*corpus, *repeated])
+    rows = docs.collect()
+    items = spark.createDataFrame([(1, " ".join(corpus[9][1].split()[:40])), (2, "like it")], "item_id long, text string")
+    held = {tuple(r) for r in decontam.contained_items(docs, items).select("doc_id").distinct().collect()}
+    ids = [r.doc_id for r in near.near_duplicates(docs, 80).where("kept").collect()]
+    bodies, times = {}, Counter()
+    for r in rows:
+        body = re.sub(r"\s+", " ", r.text or "")
+        bodies.setdefault(body, []).append(r.doc_id)
+    first = {(min((i for i in x if i is not None), default=None), body) for body, x in bodies.items()}
+    for r in exact.survivors(docs).collect():
+        times[r.doc_id, re.sub(r"\s+", " ", r.text or "")] += 1
+    assert set(times) == first and max(times.values()) == 1
+    assert Counter(r.doc_id for r in near.survivors(docs, 80).collect()) == Counter(r.doc_id for r in rows if r.doc_id in set(ids))
+    stays = [r.doc_id for r in decontam.clean(docs, items).collect()]
+    assert held and not {i for i, in held if i is not None and i != 5} & set(stays) and len(stays) < len(rows)
+    for out in (exact.survivors(docs), near.survivors(docs, 80), decontam.clean(docs, items)):
+        plan = out._jdf.queryExecution().optimizedPlan()
+        assert plan.nodeName() == "Union"
+        assert not re.search("Join|Aggregate", plan.children().apply(0).toString())  # the table itself is dealt to three tasks
+
+
 def test_pipeline_equals_brute_force(spark, tmp_path, table, corpus):
     rows = [*corpus, (800, "12 34 !!", "en", "s0", 1), (801, None, "en", "s0", 1)]
     item = " ".join(corpus[9][1].split()[:40])
