@@ -390,6 +390,23 @@ def test_tree_is_a_distribution_and_matches_recursion(spark):
         assert math.isclose(high, predict(0, 0, int(c) >> 8), rel_tol=1e-4)
 
 
+def test_run_values_equal_the_dense_tree_and_grow(spark, table, corpus):
+    texts = [r[1] for r in corpus[:40]] + ["abracadabra", "abba cab", ""] * 3
+    flags = [(t, k % 5 == 0) for k, t in enumerate(texts)]
+    total = sum(len(t.encode()) + 1 for t, held in flags if not held)
+    for least in (2, 40):
+        tree = ctw.fit_tree(spark.createDataFrame([(t,) for t, held in flags if not held], "text string"), contexts=-(-total // least) if least == 2 else total // least)
+        if least == 2:
+            assert -(-total // -(-total // 2)) == 2
+        out = ctw.run_values(spark.createDataFrame(flags, "text string, held_out boolean"), -(-total // (-(-total // 2))) if least == 2 else -(-total // (total // least))).toPandas()
+        code = out["code"].to_numpy().astype(np.uint64)
+        dense = tree.table[tree.states(code), (code & np.uint64(255)).astype(int)]
+        assert np.allclose(out["value"], dense, atol=1e-4) and len(set(code.tolist())) == len(code)
+    rows = corpus[:60]
+    few, all_held = (sorted(tuple(r) for r in ctw.score_texts(table(rows), frequent_runs=k).select("doc_id", "score").collect()) for k in (50, 1 << 18))
+    assert np.allclose([r[1] for r in few], [r[1] for r in all_held], rtol=1e-9)
+
+
 def test_base_scores_match_brute_force(table, corpus):
     rows = corpus[:80]
     out = {r.doc_id: r for r in ctw.score_texts(table(rows), frequent=15).collect()}
