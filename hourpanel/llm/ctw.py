@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import repeat
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,8 @@ from hourpanel.llm.text import encoded, id_bucket, map_batches, slices
 from hourpanel.session import materialise
 
 DEPTH = 4
+RUN_BITS = 8 * (DEPTH + 1)
+OWNERS = 1 << (64 - RUN_BITS)  # documents handled at once: a run and its document make one number of 64 bits
 TOP = 2  # a task holds the subtree below a context of so many bytes; above are at most 256 contexts and the root
 LEAST = 2  # training bytes that must stand in a context for a node of its own, at every size of the corpus
 CONTEXTS = 16384  # of the dense form
@@ -41,9 +45,9 @@ def _runs(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(code, document number) at every byte and end of every text: the byte with the DEPTH before it, oldest in the high bits."""
     pad = bytes([PAD]) * DEPTH
     data = np.frombuffer(b"".join(pad + x.lower() + b"\xff" for x in raw), np.uint8).astype(np.uint64)
-    code = np.zeros(len(data) - DEPTH, np.uint64)
-    for j in range(DEPTH + 1):
-        code = (code << np.uint64(8)) | data[j : j + len(code)]
+    code = data[: len(data) - DEPTH]
+    for j in range(1, DEPTH + 1):
+        code = (code << np.uint64(8)) | data[j : len(data) - DEPTH + j]
     owner = np.repeat(np.arange(len(raw)), [len(x) + 1 + DEPTH for x in raw])[DEPTH:]
     real = data[DEPTH:] != PAD
     return code[real], owner[real]
@@ -171,6 +175,42 @@ def fit_tree(texts: DataFrame, contexts: int = CONTEXTS) -> Tree:
     return tree
 
 
+def _classes(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each class of equal values begins in a sorted array, and its size."""
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
+    return first, np.diff(first, append=len(ordered))
+
+
+def _dealt(raw: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Row ranges as of ``slices``, of at most ``OWNERS`` rows."""
+    for a, b in slices(raw):
+        for i in range(a, b, OWNERS):
+            yield i, min(i + OWNERS, b)
+
+
+def _meet(code: np.ndarray, owner: np.ndarray, held: np.ndarray, value: np.ndarray, documents: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The sum of the values of each document's runs that are ``held`` (sorted), and the others as distinct (owner, code, times), sorted.
+
+    Runs are sorted as numbers with their owner in the low bits, so each distinct run is looked up once for all documents.
+    """
+    low = np.uint64(64 - RUN_BITS)
+    both = np.sort((code << low) | owner.astype(np.uint64))
+    first, size = _classes(both >> low)
+    code, owner = (both[first] >> low).astype(np.int64), (both & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+    if len(held):
+        at = np.minimum(np.searchsorted(held, code), len(held) - 1)
+        hit = held[at] == code
+        known = np.where(hit, value[at], 0.0)
+    else:
+        hit, known = np.zeros(len(code), bool), np.zeros(len(code))
+    scores = np.bincount(owner, np.repeat(known, size), documents)
+    other = np.repeat(~hit, size)
+    pairs = np.sort((owner[other].astype(np.uint64) << np.uint64(RUN_BITS)) | (both[other] >> low))
+    first, times = _classes(pairs)
+    pairs = pairs[first]
+    return scores, (pairs >> np.uint64(RUN_BITS)).astype(np.int64), (pairs & np.uint64((1 << RUN_BITS) - 1)).astype(np.int64), times
+
+
 def _count_both(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(code, n, seen): how often a run stands in training texts and in all."""
     for batch in batches:
@@ -178,8 +218,10 @@ def _count_both(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         training = ~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
         for a, b in slices(raw, 4 << 20):
             code, owner = _runs(raw[a:b])
-            code, at, seen = np.unique(code, return_inverse=True, return_counts=True)
-            n = np.bincount(at, training[a:b][owner], len(code)).astype(np.int64)
+            code = np.sort((code << np.uint64(1)) | training[a:b][owner])  # the lowest bit: whether it stands in a training text
+            first, seen = _classes(code >> np.uint64(1))
+            n = np.add.reduceat(code & np.uint64(1), first).astype(np.int64) if len(first) else seen
+            code = code[first] >> np.uint64(1)
             yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n), pa.array(seen, pa.int64())], ["code", "n", "seen"])
 
 
@@ -372,30 +414,17 @@ def score_texts(docs: DataFrame, modulus: int = HELD_OUT[0], remainder: int = HE
         logs = {w: float(np.log10(c + 1)) for w, c in counts.items()}
         for batch in batches:
             raw = encoded(batch.column("text"))
-            for a, b in slices(raw):
-                code, owner = _runs(raw[a:b])
-                code = code.astype(np.int64)
-                at = np.minimum(np.searchsorted(held, code), len(held) - 1) if len(held) else np.zeros(len(code), np.int64)
-                hit = held[at] == code if len(held) else np.zeros(len(code), bool)
-                scores = np.bincount(owner[hit], held_value[at[hit]], b - a)
-                pairs, run_times = np.unique(np.stack([owner[~hit], code[~hit]]), axis=1, return_counts=True)
-                bounds = pa.array(np.searchsorted(pairs[0], np.arange(b - a + 1)), pa.int32())
+            for a, b in _dealt(raw):
+                scores, owner, runs, run_times = _meet(*_runs(raw[a:b]), held, held_value, b - a)
+                bounds = pa.array(np.searchsorted(owner, np.arange(b - a + 1)), pa.int32())
                 out = []
                 for text in raw[a:b]:
-                    own = Counter(text.lower().split())
-                    tokens = known = 0
-                    base = end_log
-                    rare, times = [], []
-                    for w, k in own.items():
-                        tokens += k
-                        x = logs.get(w)
-                        if x is None:
-                            rare.append(w)
-                            times.append(k)
-                        else:
-                            base += k * x
-                            known += k
-                    out.append((tokens + 1, known + bool(ends), base, rare, times))
+                    tokens = text.lower().split()
+                    own = Counter(tokens)
+                    base = sum(map(mul, own.values(), map(logs.get, own, repeat(0.0))), end_log)
+                    rare = [w for w in own if w not in logs]
+                    times = [own[w] for w in rare]
+                    out.append((len(tokens) + 1, len(tokens) - sum(times) + bool(ends), base, rare, times))
                 n_tokens, known, base, rare, times = zip(*out, strict=True)
                 size = np.array([len(x) + 1 for x in raw[a:b]])
                 yield pa.RecordBatch.from_arrays(
@@ -403,7 +432,7 @@ def score_texts(docs: DataFrame, modulus: int = HELD_OUT[0], remainder: int = HE
                         batch.column("doc_id").slice(a, b - a), batch.column("held_out").slice(a, b - a),
                         pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
                         pa.array(scores, pa.float64()), pa.array(size, pa.int64()),
-                        pa.ListArray.from_arrays(bounds, pa.array(pairs[1], pa.int64())), pa.ListArray.from_arrays(bounds, pa.array(run_times, pa.int64())),
+                        pa.ListArray.from_arrays(bounds, pa.array(runs, pa.int64())), pa.ListArray.from_arrays(bounds, pa.array(run_times, pa.int64())),
                         pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64())),
                     ],
                     ["doc_id", "held_out", "n_tokens", "known", "base", "score", "size", "runs", "run_times", "rare", "times"],

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import prose
 
@@ -407,6 +408,33 @@ def test_run_values_equal_the_dense_tree_and_grow(spark, table, corpus):
     assert np.allclose([r[1] for r in few], [r[1] for r in all_held], rtol=1e-9)
 
 
+def test_runs_are_counted_and_looked_up_once_for_all_documents(corpus, monkeypatch):
+    texts = [r[1].encode() for r in corpus[:60]] + [b"", b"ab", b"abababab", "ßé \U0001f600".encode()]
+    training = [k % 3 > 0 for k in range(len(texts))]
+    data = [b"\xfe" * 4 + x.lower() + b"\xff" for x in texts]
+    runs = [[int.from_bytes(x[i : i + 5], "big") for i in range(len(x) - 4)] for x in data]
+    monkeypatch.setattr(ctw, "OWNERS", 7)
+    assert [*ctw._dealt(texts)] == [(i, min(i + 7, len(texts))) for i in range(0, len(texts), 7)]
+    batch = pa.table({"text": [x.decode() for x in texts], "held_out": [not t for t in training]}).to_batches()[0]
+    seen, n = Counter(), Counter()
+    for out in ctw._count_both([batch]):
+        for r in out.to_pylist():
+            seen[r["code"]] += r["seen"]
+            n[r["code"]] += r["n"]
+    assert seen == Counter(c for x in runs for c in x)
+    assert {c: k for c, k in n.items() if k} == Counter(c for x, t in zip(runs, training, strict=True) if t for c in x)
+    asked, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *rest, **named: asked.append(len(v)) or search(a, v, *rest, **named))
+    for held in (sorted(seen)[::3], []):
+        value = {c: -1 / (k + 1) for k, c in enumerate(held)}
+        code, owner = ctw._runs(texts)
+        scores, *pairs = ctw._meet(code, owner, np.array(held, np.int64), np.array([*value.values()], float), len(texts))
+        assert np.allclose(scores, [sum(value.get(c, 0) for c in x) for x in runs])
+        want = Counter((k, c) for k, x in enumerate(runs) for c in x if c not in value)
+        assert [*zip(*(x.tolist() for x in pairs), strict=True)] == sorted((*c, times) for c, times in want.items())
+    assert asked == [len(seen)] and len(seen) < len(code)
+
+
 def test_base_scores_match_brute_force(table, corpus):
     rows = corpus[:80]
     out = {r.doc_id: r for r in ctw.score_texts(table(rows), frequent=15).collect()}
