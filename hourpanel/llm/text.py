@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hourpanel.session import materialise
+
 SLICE_BYTES = 2 << 20  # text handled at once inside a task; one longer document makes its own slice
 SHINGLE = 5  # words per shingle
 
@@ -194,15 +196,34 @@ def in_table(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
+PAGE_BITS = 10  # the table as a column: pages of 2**10 words of 64 bits
+SPARSE_BITS = 8  # it has 2**8 bits a key or more, until it has ``TABLE_BITS``
+
+
+def key_pages(keys: DataFrame, column: str = "key") -> tuple[DataFrame, int]:
+    """The table of ``key_table`` as one written row (pages array<array<long>>), laid out by tasks: every word stands in it, zeros too;
+    and how many leading bits of a key it takes, which few keys need fewer of."""
+    width = min(TABLE_BITS, max(6 + PAGE_BITS, (keys.count() << SPARSE_BITS).bit_length()))
+    slot = F.shiftrightunsigned(F.col(column), 64 - width)
+    words = keys.select(slot.alias("slot")).select(F.shiftright("slot", 6).alias("word"), F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("bits"))
+    every = keys.sparkSession.range(1 << (width - 6)).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    words = every.unionByName(words).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+
+    def in_order(at: str, value: str) -> Column:
+        return F.transform(F.sort_array(F.collect_list(F.struct(at, value))), lambda x: x[value])
+
+    pages = words.groupBy(F.shiftright("word", PAGE_BITS).alias("page")).agg(in_order("word", "bits").alias("words"))
+    return materialise(pages.agg(in_order("page", "words").alias("pages")), "key_pages"), width
+
+
 def divided(docs: DataFrame, keys: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
     """The rows of ``docs`` whose ``key`` is surely not among ``keys`` (column key), and the others: those that are, and a few more.
 
-    Only keys reach Python, and rows of the first part need not be moved to be told apart.
+    Rows are told apart by DataFrame operations where they are read, so those of the first part need not be moved.
     """
-    table = docs.sparkSession.sparkContext.broadcast(key_table(keys))
-
-    @F.arrow_udf("boolean")
-    def among(values: pa.Array) -> pa.Array:
-        return pa.array(in_table(table.value, values.to_numpy(zero_copy_only=False)))
-
-    return docs.where(~among(key)), docs.where(among(key))
+    pages, width = key_pages(keys)
+    slot = F.shiftrightunsigned(key, 64 - width)
+    page = F.get(pages.scalar(), F.shiftright(slot, 6 + PAGE_BITS).cast("int"))
+    word = F.get(page, F.shiftright(slot, 6).bitwiseAND(F.lit((1 << PAGE_BITS) - 1)).cast("int"))
+    among = F.getbit(word, (slot % 64).cast("int")) == 1
+    return docs.where(~among), docs.where(among)

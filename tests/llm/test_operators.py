@@ -11,10 +11,11 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from conftest import prose
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hourpanel.llm import ctw, decontam, exact, graph, langid, licenses, mixing, near, pii, token_scan, toxicity
-from hourpanel.llm.text import in_table, key_table, text_shingles
+from hourpanel.llm.text import divided, in_table, key_table, text_shingles
 
 
 def word_set(text):
@@ -561,6 +562,20 @@ def test_stages_move_only_texts_that_may_go(spark, table, corpus):
         assert not re.search("Join|Aggregate", plan.children().apply(0).toString())  # the table itself is dealt to three tasks
 
 
+def test_exact_stage_runs_no_python(spark, table, corpus):
+    """Exact deduplication is DataFrame operations only, in the pipeline too; rows are told apart by their keys."""
+    docs = table(corpus)
+    for out in (exact.survivors(docs), exact.exact_duplicates(docs)):
+        assert not re.search("Python|InArrow|InPandas", out._jdf.queryExecution().executedPlan().toString())
+    keys = np.random.default_rng(3).integers(-(2**63), 2**63 - 1, 3000)
+    rows = spark.createDataFrame([(k,) for k in [*keys.tolist(), -(2**63), -1, 0, 2**63 - 1]], "k long")
+    some = [*keys[:700].tolist(), *keys[:9].tolist(), -1, 2**63 - 1]
+    for own in (some, []):
+        sure, others = ([r.k for r in part.collect()] for part in divided(rows, spark.createDataFrame([(k,) for k in own], "key long"), F.col("k")))
+        assert sorted(sure + others) == sorted(r.k for r in rows.collect())
+        assert set(own) <= set(others) and len(others) < len(set(own)) + (40 if own else 1)
+
+
 def test_pipeline_equals_brute_force(spark, tmp_path, table, corpus):
     rows = [*corpus, (800, "12 34 !!", "en", "s0", 1), (801, None, "en", "s0", 1)]
     item = " ".join(corpus[9][1].split()[:40])
